@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from flowloom.functions import default_site, ip_to_int, is_internal_ip
-from flowloom.functions.network import open_sequence
 from flowloom.operators.filters import status_allowed
 from flowloom.operators.joining import bounded_broadcast, lookup_join, prefixed
 
@@ -47,14 +46,6 @@ ASSET_VALUES = {
 }
 
 
-def explode_ranges(ranges: DataFrame) -> DataFrame:
-    """Every address strictly inside a range with its sites joined by ``_``: one row per address."""
-    addresses = ranges.select(
-        F.col("mdm_loc_code").alias("site"),
-        F.explode(open_sequence(F.col("mdm_ip_start_int"), F.col("mdm_ip_end_int"))).alias("mdm_ip"))
-    return addresses.groupBy("mdm_ip").agg(F.array_join(F.array_sort(F.collect_set("site")), "_").alias("site"))
-
-
 def site_segments(ranges: DataFrame) -> DataFrame:
     """Disjoint pieces ``(block, seg_lo, seg_hi, site)`` of the ranges, cut at blocks of 256 addresses.
 
@@ -81,6 +72,14 @@ def site_segments(ranges: DataFrame) -> DataFrame:
     return covered.groupBy("block", "seg_lo", "seg_hi").agg(F.array_join(names, "_").alias("site"))
 
 
+def explode_ranges(ranges: DataFrame) -> DataFrame:
+    """Every address strictly inside a range with its sites joined by ``_``: one row per address.
+
+    The pieces are disjoint, so each address appears once without grouping by address.
+    """
+    return site_segments(ranges).select(F.explode(F.sequence("seg_lo", "seg_hi")).alias("mdm_ip"), "site")
+
+
 def resolve_sites(flows: DataFrame, segments: DataFrame, ends: dict[str, str]) -> DataFrame:
     """Add a site column per address column (``{'source_ip': 'source_site'}``); ``nf`` when no range holds it.
 

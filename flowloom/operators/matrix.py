@@ -144,12 +144,15 @@ def shrink_edges(edges: DataFrame, max_nodes: int, source: str = "source", dest:
     return ranked.filter(F.col("_rank") <= size).select(*edges.columns)
 
 
-def spread(edges: DataFrame, limit: int, source: str = SRC, dest: str = DST, weight: str = TRAFFIC) -> DataFrame:
+def spread(edges: DataFrame, limit: int, names: list[str] | None = None, source: str = SRC, dest: str = DST,
+           weight: str = TRAFFIC) -> DataFrame:
     """Matrix with one row per source and one column per destination; missing pairs are 0.
 
-    The destination names become columns, so there must be fewer than ``limit``.
+    The destination names become columns, so there must be at most ``limit`` of
+    them; giving the names saves the job that finds them.
     """
-    names = [r[0] for r in edges.select(dest).distinct().orderBy(dest).limit(limit + 1).collect()]
+    if names is None:
+        names = [r[0] for r in edges.select(dest).distinct().orderBy(dest).limit(limit + 1).collect()]
     if len(names) > limit:
         raise ValueError(f"more than {limit} destinations; shrink the edges before spreading them")
     return edges.groupBy(source).pivot(dest, names).agg(F.sum(weight)).fillna(0)
