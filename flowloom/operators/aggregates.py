@@ -186,6 +186,15 @@ def cube(daily: DataFrame, collecttype: str, level: str, resolution: str = "IDM"
     return daily.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
 
 
+def cube_without_detail(detail: DataFrame, collecttype: str, resolution: str = "IDM") -> DataFrame:
+    """The small cube from the detailed one of the same days: its measures add up and its user lists unite."""
+    keys = cube_keys(collecttype, "nodetail", resolution)
+    sums = {c: F.col(c) for c in ("con_number", "con_traffic", "con_times_traffic")}
+    if collecttype == "device":
+        return with_members(detail, keys, "I_ID_U", sums, "I_ID_U", "distinct_I_ID_U")
+    return detail.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+
+
 def valid_days(ledger_units: DataFrame, collecttype: str, min_engines: int) -> DataFrame:
     """Days on which at least ``min_engines`` engines delivered."""
     return (ledger_units.filter(F.col("collecttype") == collecttype).groupBy("dt")

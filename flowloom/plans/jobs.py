@@ -40,12 +40,10 @@ def socket_ledger(spark: SparkSession, ctx: JobContext) -> DataFrame:
     return rd.read_or_empty(spark, ctx.path("meta_sockets"), lg.SOCKET_SCHEMA)
 
 
-def _store(spark: SparkSession, rows: DataFrame, ctx: JobContext, folder: str, units: list[str],
-           entries: list[DataFrame] | DataFrame, ledger: str) -> None:
-    """Data, then ledger. The entries may depend on the ledger that is being extended, so they are written apart first."""
-    entries = cut_lineage(entries, "entries")
-    # The written copy keeps the partition swap from rereading what it replaces.
-    sn.write_units(rows, ctx.path(folder), units, list(ctx.partitions))
+def _store(rows: DataFrame, ctx: JobContext, folder: str, units: list[str],
+           entries: DataFrame, ledger: str, staged: bool = False) -> None:
+    """Data, then ledger; a failure in between leaves units that the next run stores again."""
+    sn.write_units(rows, ctx.path(folder), units, list(ctx.partitions), staged)
     sn.append_ledger(entries, ctx.path(ledger))
 
 
@@ -66,7 +64,7 @@ def encode(spark: SparkSession, ctx: JobContext, inputs: dict[str, DataFrame]) -
     for filetype, raw in inputs.items():
         # One pass over the extract: the new whole days are written apart, then stored and recorded.
         rows = cut_lineage(encode_rows(spark, ctx, filetype, raw), f"encode-{filetype}")
-        _store(spark, rows, ctx, filetype, FILE_UNIT, lg.ledger_entries(rows, filetype, lg.ENCODE), "meta")
+        _store(rows, ctx, filetype, FILE_UNIT, lg.ledger_entries(rows, filetype, lg.ENCODE), "meta", staged=True)
 
 
 def encode_files(spark: SparkSession, ctx: JobContext, paths: list[str]) -> None:
@@ -112,7 +110,7 @@ def resolve(spark: SparkSession, ctx: JobContext, ranges: DataFrame, identities:
     connections = lg.rows_of_units(spark.read.parquet(ctx.path("connection")), units)
     webrequests = lg.rows_of_units(spark.read.parquet(ctx.path("webrequest")), units)
     rows = resolve_connections(connections, webrequests, ranges, identities, assets)
-    _store(spark, rows, ctx, "resolved", FILE_UNIT, _recorded(units, lg.RESOLVE), "meta")
+    _store(rows, ctx, "resolved", FILE_UNIT, _recorded(units, lg.RESOLVE), "meta")
 
 
 def resolve_execution_rows(executions: DataFrame, ranges: DataFrame, identities: DataFrame, assets: DataFrame) -> DataFrame:
@@ -125,7 +123,7 @@ def resolve_executions(spark: SparkSession, ctx: JobContext, ranges: DataFrame,
     units = cut_lineage(_window(lg.pending_executions(event_ledger(spark, ctx)), first, last), "units")
     executions = lg.rows_of_units(spark.read.parquet(ctx.path("execution")), units)
     rows = resolve_execution_rows(executions, ranges, identities, assets)
-    _store(spark, rows, ctx, "resolved_execution", FILE_UNIT, _recorded(units, lg.RESOLVE_EXECUTION), "meta")
+    _store(rows, ctx, "resolved_execution", FILE_UNIT, _recorded(units, lg.RESOLVE_EXECUTION), "meta")
 
 
 def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, last: str | None = None) -> None:
@@ -136,7 +134,7 @@ def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, la
     device = ag.agg_device_day(rows.filter(F.col("collecttype") == "device"))
     for folder, daily in (("agg/server", server), ("agg/device", device)):
         sn.write_units(daily, ctx.path(folder), ["dt", "engine", "filedt"], list(ctx.partitions))
-    sn.append_ledger(cut_lineage(_recorded(units, lg.AGGREGATE), "entries"), ctx.path("meta"))
+    sn.append_ledger(_recorded(units, lg.AGGREGATE), ctx.path("meta"))
 
 
 # -- sockets -------------------------------------------------------------------------------------------------------
@@ -147,7 +145,7 @@ def encode_sockets(spark: SparkSession, ctx: JobContext, inputs: dict[str, DataF
     ledger = socket_ledger(spark, ctx)
     for kind, raw in inputs.items():
         rows = cut_lineage(lg.new_snapshots(pj.project_snapshot(raw), ledger, kind), f"encode-{kind}")
-        sn.write_units(rows, ctx.path(kind), ["server_ip", "dt"], ["month"])
+        sn.write_units(rows, ctx.path(kind), ["server_ip", "dt"], ["month"], staged=True)
         sn.append_ledger(lg.socket_entries(rows, kind, lg.ENCODE_SOCKETS), ctx.path("meta_sockets"))
 
 
@@ -235,8 +233,7 @@ def build_flow_tables(spark: SparkSession, ctx: JobContext) -> None:
 
 # -- publishing ----------------------------------------------------------------------------------------------------
 
-CUBES = [("device", level, resolution) for resolution in ("IDM", "Device") for level in ("detail", "nodetail")] + [
-    ("server", level, "IDM") for level in ("detail", "nodetail")]
+RESOLUTIONS = {"device": ["IDM", "Device"], "server": ["IDM"]}
 
 
 def cube_name(collecttype: str, level: str, resolution: str, date_range: str) -> str:
@@ -264,11 +261,12 @@ def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFr
             if row["firstDate"] is None:
                 continue
             rows = ag.in_valid_days(daily, days, str(row["firstDate"]))
-            for kind, level, resolution in CUBES:
-                if kind == collecttype:
-                    name = cube_name(kind, level, resolution, row["date_range"])
-                    written[name] = f"{target}/{name}"
-                    sn.write_table(ag.cube(rows, kind, level, resolution), written[name])
+            for resolution in RESOLUTIONS[collecttype]:
+                detail, small = (cube_name(collecttype, level, resolution, row["date_range"]) for level in ("detail", "nodetail"))
+                written[detail], written[small] = f"{target}/{detail}", f"{target}/{small}"
+                sn.write_table(ag.cube(rows, collecttype, "detail", resolution), written[detail])
+                stored = spark.read.parquet(written[detail])
+                sn.write_table(ag.cube_without_detail(stored, collecttype, resolution), written[small])
         if exports:
             prefix = "DateRangeServer" if collecttype == "server" else "DateRange"
             written[prefix] = sn.export_csv(ranges_of_days, target, f"{prefix}.csv.gz", allowed_root=ctx.export_root)

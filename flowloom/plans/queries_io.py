@@ -43,14 +43,16 @@ def _(t):
 
 @query("scan_csv_encoding", """
 SELECT concat('Besançon ', n_name) AS "Location Name", CAST(n_nationkey AS VARCHAR) AS Status, concat('é', CAST(n_regionkey AS VARCHAR)) AS Mask FROM nation
-UNION ALL SELECT concat('Zürich ', s_name), CAST(s_suppkey AS VARCHAR), concat('é', CAST(s_nationkey AS VARCHAR)) FROM supplier""")
+UNION ALL SELECT concat('Zürich € ', s_name), CAST(s_suppkey AS VARCHAR), concat('é', CAST(s_nationkey AS VARCHAR)) FROM supplier""")
 def _(t):
     path = work_path(t.spark, "repository")
     rows = t.nation.select(F.concat(F.lit("Besançon "), "n_name").alias("Location Name"), F.col("n_nationkey").cast("string").alias("Status"),
                            F.concat(F.lit("é"), F.col("n_regionkey").cast("string")).alias("Mask")).unionByName(
-        t.supplier.select(F.concat(F.lit("Zürich "), "s_name").alias("Location Name"), F.col("s_suppkey").cast("string").alias("Status"),
+        t.supplier.select(F.concat(F.lit("Zürich € "), "s_name").alias("Location Name"), F.col("s_suppkey").cast("string").alias("Status"),
                           F.concat(F.lit("é"), F.col("s_nationkey").cast("string")).alias("Mask")))
-    rows.write.options(header=True, sep=";", encoding="windows-1252").csv(path)
+    # The euro sign is 0x80 in windows-1252; written as Latin-1 text it is that very byte.
+    written = rows.withColumn("Location Name", F.translate("Location Name", "€", "\x80"))
+    written.write.options(header=True, sep=";", encoding="iso-8859-1").csv(path)
     return rd.read_repository(t.spark, path)
 
 
@@ -95,13 +97,13 @@ def _(t):
 
 @query("sink_snapshot", """
 SELECT s_suppkey, s_name, DATE '2016-05-01' AS filedate FROM supplier
-UNION ALL SELECT s_suppkey, s_name, DATE '2016-06-01' FROM supplier WHERE s_acctbal <= 0""")
+UNION ALL SELECT s_suppkey, s_name, DATE '2016-06-01' FROM supplier WHERE s_acctbal > 1000""")
 def _(t):
     path, rows = work_path(t.spark, "snapshot"), t.supplier.select("s_suppkey", "s_name")
     sn.write_snapshot(rows.withColumn("filedate", F.lit("2016-05-01")), path)
     sn.write_snapshot(rows.withColumn("filedate", F.lit("2016-06-01")), path)
     # A second delivery of a date replaces that date alone.
-    sn.write_snapshot(t.supplier.filter(F.col("s_acctbal") <= 0).select("s_suppkey", "s_name", F.lit("2016-06-01").alias("filedate")), path)
+    sn.write_snapshot(t.supplier.filter(F.col("s_acctbal") > 1000).select("s_suppkey", "s_name", F.lit("2016-06-01").alias("filedate")), path)
     return t.spark.read.parquet(path)
 
 
@@ -430,11 +432,8 @@ SELECT window_no, count(*) AS n, min(dt) AS first_day, max(dt) AS last_day FROM
     ON c.collecttype = u.collecttype AND c.engine = u.engine AND c.dt = u.dt AND c.filedt = u.min_filedt
   WHERE c.dt >= DATE '1997-01-01' AND c.dt < DATE '1998-04-01') x GROUP BY ALL""")
 def _(t):
-    rows = lg.rows_of_units(t.d_connection.select(*lg.UNIT, "filedt"), lg.pending_aggregates(t.d_ledger))
-    frames = []
-    for number, (first, last) in enumerate(jobs.backfill_windows("1997-01-01", "1998-04-01", 100)):
-        part = rows.filter(between_days("dt", first, last))
-        frames.append(part.groupBy(F.lit(number).alias("window_no")).agg(
-            F.count("*").alias("n"), F.min("dt").alias("first_day"), F.max("dt").alias("last_day")))
-    return union_by_name(frames)
-
+    windows = list(jobs.backfill_windows("1997-01-01", "1998-04-01", 100))
+    rows = lg.rows_of_units(t.d_connection.select(*lg.UNIT, "filedt"), lg.pending_aggregates(t.d_ledger), windows[0][0], windows[-1][1])
+    number = F.coalesce(*[F.when(between_days("dt", first, last), i) for i, (first, last) in enumerate(windows)])
+    return rows.groupBy(number.alias("window_no")).agg(
+        F.count("*").alias("n"), F.min("dt").alias("first_day"), F.max("dt").alias("last_day"))

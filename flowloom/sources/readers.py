@@ -59,9 +59,28 @@ def read_snapshot(spark: SparkSession, paths, kind: str) -> DataFrame:
     return spark.read.schema(text_schema(SNAPSHOT_COLUMNS[kind])).options(sep=";", mode="DROPMALFORMED").csv(paths)
 
 
+def _high_characters(encoding: str) -> tuple[str, str]:
+    """The characters 0x80-0x9f as Latin-1 reads them, and what ``encoding`` means by them."""
+    pairs = []
+    for code in range(0x80, 0xA0):
+        meant = bytes([code]).decode(encoding, errors="ignore")
+        if meant:
+            pairs.append((chr(code), meant))
+    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+
+
 def read_repository(spark: SparkSession, paths, encoding: str = "windows-1252") -> DataFrame:
-    """Repository CSV as text columns; the projections cast what they need."""
-    return spark.read.options(header=True, sep=";", mode="DROPMALFORMED", encoding=encoding).csv(paths)
+    """Repository CSV as text columns; the projections cast what they need.
+
+    Spark reads no windows-1252, but it reads Latin-1, which differs in 32
+    characters only; those are put right in the headers and in the values.
+    """
+    if encoding.lower() not in ("windows-1252", "cp1252"):
+        return spark.read.options(header=True, sep=";", mode="DROPMALFORMED", encoding=encoding).csv(paths)
+    raw = spark.read.options(header=True, sep=";", mode="DROPMALFORMED", encoding="iso-8859-1").csv(paths)
+    read, meant = _high_characters("cp1252")
+    table = str.maketrans(read, meant)
+    return raw.select(*[F.translate(F.col(f"`{c}`"), read, meant).alias(c.translate(table)) for c in raw.columns])
 
 
 def read_usage(spark: SparkSession, paths) -> DataFrame:

@@ -9,8 +9,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
-from flowloom.operators.joining import anti_join, bounded_broadcast, union_by_name
-from flowloom.session import work_path
+from flowloom.operators.joining import anti_join, semi_join, union_by_name
+from flowloom.session import cut_lineage, work_path
 from flowloom.sources.readers import read_or_empty
 
 SINGLE_FILE_ROWS = 1_000_000
@@ -26,17 +26,22 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
      .partitionBy(*partitions).parquet(path))
 
 
-def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str]) -> None:
+def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str], staged: bool = False) -> None:
     """Store ``df`` so that writing the same units again changes nothing.
 
     Partitions that already hold other units keep them: their rows are carried
-    over before the touched partitions are replaced.
+    over before the touched partitions are replaced. ``df`` is computed once:
+    the first write goes straight to the folder, a later one through a written
+    copy, unless ``staged`` says that ``df`` is a written table already.
     """
-    spark = df.sparkSession
-    stored = read_or_empty(spark, path, _ddl(df))
-    touched = df.select(*partitions).distinct()
-    kept = anti_join(stored.join(bounded_broadcast(touched), partitions, "left_semi"), df.select(*units).distinct(), units)
-    write_partitioned(df.unionByName(kept.select(*df.columns)), path, partitions)
+    stored = read_or_empty(df.sparkSession, path, _ddl(df))
+    if not stored.inputFiles():
+        write_partitioned(df, path, partitions)
+        return
+    rows = df if staged else cut_lineage(df, "units")
+    touched = rows.select(*partitions).distinct()
+    others = anti_join(semi_join(stored, touched, partitions), rows.select(*units).distinct(), units)
+    write_partitioned(rows.unionByName(others.select(*rows.columns)), path, partitions)
 
 
 def _ddl(df: DataFrame) -> str:
