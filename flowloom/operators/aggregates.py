@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import list_items
 from flowloom.operators.filters import closed_only
-from flowloom.operators.joining import semi_join, union_by_name
+from flowloom.operators.joining import semi_join
 
 AIP_AGG = [
     "aip_app_name", "aip_server_function", "aip_server_subfunction", "aip_app_criticality", "aip_app_type",
@@ -104,7 +104,7 @@ def agg_socket_day(resolved: DataFrame) -> DataFrame:
     return agg_server_day(resolved.filter(F.col("collecttype") == "linux"))
 
 
-# Columns a flow row takes from each side of an aggregate row: (collecttype, remote_type, mapping).
+# Columns a flow row takes from each side of an aggregate row.
 def _server_side(end: str) -> dict[str, str]:
     return {"server_ip": f"{end}_ip", "server_site": f"{end}_site", "server_aip_app_name": f"{end}_aip_app_name",
             "server_sector": f"{end}_aip_app_sector"}
@@ -120,37 +120,42 @@ DEVICE_REMOTE = {"remote_sector": "source_sector", "remote_site": "source_I_ID_s
                  "remote_app_exec": "source_app_exec", "remote_aip_app_name": None}
 
 
-def flow_role(daily: DataFrame, collecttype: str, remote_type: str) -> DataFrame:
-    """Closed daily flows seen from one end: the server is the destination of a client or the source towards a server."""
-    if collecttype == "nxdevice":
-        mapping = {**_server_side("dest"), **DEVICE_REMOTE}
-    elif remote_type == "client":
-        mapping = {**_server_side("dest"), **_remote_side("source")}
-    else:
-        mapping = {**_server_side("source"), **_remote_side("dest")}
-    keys = [F.lit(None).cast("string").alias(n) if c is None else F.col(c).alias(n) for n, c in mapping.items()]
-    traffic = F.col("con_traffic_in") + F.col("con_traffic_out")
-    names = ["dt", "month", *mapping, "server_port", "con_protocol"]
-    picked = daily.filter(closed_only()).select(
-        "dt", "month", *keys, F.col("dest_port").alias("server_port"), "con_protocol", "con_number",
-        traffic.alias("con_traffic"),
-        *([F.col("I_ID_U").alias("client_user")] if collecttype == "nxdevice" else []))
-    sums = {"con_number": F.col("con_number"), "con_traffic": F.col("con_traffic")}
-    if collecttype == "nxdevice":
-        rows = with_members(picked, names, "client_user", sums, "client_user", "distinct_client_user")
-    else:
-        rows = picked.groupBy(*names).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).withColumns(
-            {"client_user": F.lit(None).cast("string"), "distinct_client_user": F.lit(None).cast("int")})
-    return rows.withColumns({"collecttype": F.lit(collecttype), "remote_type": F.lit(remote_type)})
+def _role(mapping: dict[str, str | None], remote_type: str) -> Column:
+    """The columns one end contributes, as a struct."""
+    ends = [(F.lit(None).cast("string") if c is None else F.col(c)).alias(n) for n, c in mapping.items()]
+    return F.struct(F.lit(remote_type).alias("remote_type"), *ends)
+
+
+FLOW_ROW = ["collecttype", "remote_type", "dt", "month", "server_ip", "server_site", "server_aip_app_name", "server_sector",
+            "remote_sector", "remote_site", "remote_ip", "remote_app_exec", "remote_aip_app_name", "server_port", "con_protocol"]
+
+
+def _roles(daily: DataFrame, collecttype: str, roles: list[Column], users: bool) -> DataFrame:
+    """Closed flows, once per role of their server: one scan serves all roles."""
+    keep = ["I_ID_U"] if users else []
+    seen = daily.filter(closed_only()).select(
+        F.lit(collecttype).alias("collecttype"), "dt", "month", F.explode(F.array(*roles)).alias("r"),
+        F.col("dest_port").alias("server_port"), "con_protocol", "con_number",
+        (F.col("con_traffic_in") + F.col("con_traffic_out")).alias("con_traffic"), *keep)
+    inner = [c for c in FLOW_ROW if c not in seen.columns]
+    return seen.select(*[F.col(f"r.{c}").alias(c) if c in inner else F.col(c) for c in FLOW_ROW], "con_number", "con_traffic", *keep)
 
 
 def flow_detail(device: DataFrame, server: DataFrame, sockets: DataFrame) -> DataFrame:
-    """Daily flows of every server from all five roles."""
-    return union_by_name([
-        flow_role(device, "nxdevice", "client"),
-        flow_role(server, "nxserver", "client"), flow_role(server, "nxserver", "server"),
-        flow_role(sockets, "linuxserver", "client"), flow_role(sockets, "linuxserver", "server"),
-    ])
+    """Daily flows of every server from all roles.
+
+    A device flow is a client of its destination. A server flow counts twice:
+    its destination has a client, and its source talks to a server.
+    """
+    both = [_role({**_server_side("dest"), **_remote_side("source")}, "client"),
+            _role({**_server_side("source"), **_remote_side("dest")}, "server")]
+    servers = _roles(server, "nxserver", both, False).unionByName(_roles(sockets, "linuxserver", both, False))
+    sums = {"con_number": F.col("con_number"), "con_traffic": F.col("con_traffic")}
+    counted = servers.groupBy(*FLOW_ROW).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).withColumns(
+        {"client_user": F.lit(None).cast("string"), "distinct_client_user": F.lit(None).cast("int")})
+    devices = _roles(device, "nxdevice", [_role({**_server_side("dest"), **DEVICE_REMOTE}, "client")], True)
+    with_users = with_members(devices, FLOW_ROW, "I_ID_U", sums, "client_user", "distinct_client_user")
+    return with_users.unionByName(counted)
 
 
 def flow_summary(detail: DataFrame, by_month: bool) -> DataFrame:

@@ -45,11 +45,11 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on, how: str = "left") -> Data
 
 
 def semi_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return lookup_join(df, keys, on, "left_semi")
+    return lookup_join(df, keys, on, "left_semi").select(*df.columns)
 
 
 def anti_join(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
-    return lookup_join(df, keys, on, "left_anti")
+    return lookup_join(df, keys, on, "left_anti").select(*df.columns)
 
 
 def union_by_name(frames: list[DataFrame]) -> DataFrame:

@@ -7,12 +7,19 @@ other derived names.
 
 from __future__ import annotations
 
+import os
 import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from flowloom.session import cut_lineage
+
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
+SPREAD_FROM, SPREAD_TO = 1 << 19, 1 << 27  # file sizes between which a one-file table is spread over the cores
+
+STORED = {"d_units"}  # derived tables that several parts of a query read: written once
+
 DERIVED: dict[str, str] = {}
 
 # One row per line item, seen as a connection from a customer device to a supplier server.
@@ -100,30 +107,41 @@ SELECT I_ID_D, I_ID_U, con_end AS ex_start_time, con_end AS ex_end_time, concat(
 FROM d_flows
 """
 
+# Units that were delivered, with the status of their lines: the base of the ledgers.
+DERIVED["d_units"] = """
+SELECT DISTINCT CASE WHEN o_orderstatus = 'P' THEN 'server' ELSE 'device' END AS collecttype,
+  CASE WHEN o_orderstatus = 'P' THEN concat('srv-engine-', CAST(1 + o_custkey % 3 AS STRING))
+       ELSE concat('dev-engine-', CAST(o_custkey % 5 AS STRING)) END AS engine,
+  CAST(l_shipdate AS DATE) AS dt,
+  concat(replace(CAST(CAST(l_shipdate AS DATE) AS STRING), '-', ''),
+         CASE WHEN l_linestatus = 'O' THEN '-b' ELSE '-a' END) AS filedt, l_linestatus
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+"""
+
 # Ledger: what each stage has recorded. Encoding is complete, later stages stop at a date.
 DERIVED["d_ledger"] = """
-SELECT DISTINCT 'connection' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt, filedt FROM d_flows
+SELECT 'connection' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt, filedt FROM d_units
 UNION ALL
-SELECT DISTINCT 'execution' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt, filedt FROM d_flows
+SELECT 'execution' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt, filedt FROM d_units
 UNION ALL
-SELECT DISTINCT 'webrequest' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt, filedt
-FROM d_flows WHERE l_linestatus = 'O'
+SELECT 'webrequest' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt, filedt
+FROM d_units WHERE l_linestatus = 'O'
 UNION ALL
 SELECT 'connection' AS filetype, 'pipe3to4' AS stage, collecttype, engine, dt, min(filedt) AS filedt
-FROM d_flows WHERE dt < DATE '1998-06-01' GROUP BY collecttype, engine, dt
+FROM d_units WHERE dt < DATE '1998-06-01' GROUP BY collecttype, engine, dt
 UNION ALL
 SELECT 'execution' AS filetype, 'pipe3to4_Exec' AS stage, collecttype, engine, dt, min(filedt) AS filedt
-FROM d_flows WHERE dt < DATE '1997-06-01' GROUP BY collecttype, engine, dt
+FROM d_units WHERE dt < DATE '1997-06-01' GROUP BY collecttype, engine, dt
 UNION ALL
 SELECT 'connection' AS filetype, 'pipe4to5' AS stage, collecttype, engine, dt, min(filedt) AS filedt
-FROM d_flows WHERE dt < DATE '1996-06-01' GROUP BY collecttype, engine, dt
+FROM d_units WHERE dt < DATE '1996-06-01' GROUP BY collecttype, engine, dt
 """
 
 # What an earlier run had recorded before the present delivery: later file names for half of the days.
 DERIVED["d_ledger_before"] = """
 SELECT DISTINCT 'connection' AS filetype, 'pipe2to3' AS stage, collecttype, engine, dt,
   concat(replace(CAST(dt AS STRING), '-', ''), CASE WHEN engine < 'dev-engine-3' THEN '-b' ELSE '-a' END) AS filedt
-FROM d_flows WHERE dt < DATE '1998-06-01'
+FROM d_units WHERE dt < DATE '1998-06-01'
 """
 
 # IP-range repository rows: a /16 per nation, a /24 and overlapping /28 blocks on the server side, /31 and /32 rows.
@@ -193,8 +211,8 @@ SELECT concat('App ', CAST(p_size AS STRING)) AS aip_appinstance_name,
   CASE WHEN p_type = 'PROMO' THEN '' ELSE p_type END AS aip_appinstance_sector, 'Run' AS aip_appinstance_state
 FROM part JOIN supplier ON p_partkey = s_suppkey * 7
 UNION ALL
-SELECT concat('App ', CAST(s_nationkey AS STRING)) AS aip_appinstance_name,
-  CAST(s_nationkey AS STRING) AS aip_appinstance_shared_unique_id, 'PROD' AS aip_appinstance_type,
+SELECT concat('App ', CAST(s_nationkey + 1 AS STRING)) AS aip_appinstance_name,
+  CAST(s_nationkey + 1 AS STRING) AS aip_appinstance_shared_unique_id, 'PROD' AS aip_appinstance_type,
   concat('srv', CAST(s_suppkey AS STRING)) AS aip_appinstance_hostname, 'ip' AS aip_appinstance_ip,
   'Shared' AS aip_appinstance_sector, 'Run' AS aip_appinstance_state
 FROM supplier WHERE s_acctbal > 0
@@ -353,10 +371,27 @@ class Inputs:
         if name not in self._frames:
             if name in DERIVED:
                 self._frames[name] = self.sql(DERIVED[name])
+                if name in STORED:
+                    self._frames[name] = cut_lineage(self._frames[name], name)
             else:
-                self._frames[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+                self._frames[name] = self._scan(f"{self.folder}/{name}.parquet")
         return self._frames[name]
 
+    def _scan(self, path: str) -> DataFrame:
+        """A given table. One small local file holds one row group, which a single task would read and
+        process alone; its rows are spread over the cores. Tables in folders are scanned as they are."""
+        df = self.spark.read.parquet(path)
+        if os.path.isfile(path) and SPREAD_FROM <= os.path.getsize(path) < SPREAD_TO:
+            return df.repartition(self.spark.sparkContext.defaultParallelism)
+        return df
+
+    def stored(self, name: str) -> DataFrame:
+        """A derived table written once, for inputs that are stored tables in practice, such as the ledger."""
+        key = f"stored {name}"
+        if key not in self._frames:
+            self._frames[key] = cut_lineage(getattr(self, name), name)
+        return self._frames[key]
+
     def sql(self, text: str) -> DataFrame:
         frames = {n: getattr(self, n) for n in names_in(text)}
         marked = _NAME.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}" if m.group(2) in frames else m.group(0), text)

@@ -162,7 +162,7 @@ DAYS_SQL = """SELECT dt, count(DISTINCT engine) AS engine_count FROM d_flows WHE
 SELECT 'device' AS collecttype, count(*) AS days, min(dt) AS first_day, max(dt) AS last_day FROM ({DAYS_SQL.format('device', 4)}) x
 UNION ALL SELECT 'server', count(*), min(dt), max(dt) FROM ({DAYS_SQL.format('server', 3)}) x""")
 def _(t):
-    units = lg.earliest_files(t.d_ledger, lg.ENCODE)
+    units = lg.earliest_files(t.stored("d_ledger"), lg.ENCODE)
     frames = [ag.valid_days(units, kind, least).agg(F.count("*").alias("days"), F.min("dt").alias("first_day"), F.max("dt").alias("last_day"))
               .withColumn("collecttype", F.lit(kind)) for kind, least in (("device", 4), ("server", 3))]
     return frames[0].unionByName(frames[1])
@@ -173,7 +173,7 @@ WITH v AS (SELECT min(dt) AS f, max(dt) AS l FROM ({DAYS_SQL.format('device', 4)
 SELECT 'Full' AS date_range, f AS firstDate, l AS lastDate FROM v UNION ALL SELECT '6Weeks', l - 42, l FROM v
 UNION ALL SELECT 'LastWeek', l - 7, l FROM v UNION ALL SELECT 'DayOne', DATE '1998-11-02', l FROM v""")
 def _(t):
-    units = lg.earliest_files(t.d_ledger, lg.ENCODE)
+    units = lg.earliest_files(t.stored("d_ledger"), lg.ENCODE)
     return ag.date_ranges(ag.valid_days(units, "device", 4), "1998-11-02")
 
 

@@ -433,7 +433,7 @@ SELECT window_no, count(*) AS n, min(dt) AS first_day, max(dt) AS last_day FROM
   WHERE c.dt >= DATE '1997-01-01' AND c.dt < DATE '1998-04-01') x GROUP BY ALL""")
 def _(t):
     windows = list(jobs.backfill_windows("1997-01-01", "1998-04-01", 100))
-    rows = lg.rows_of_units(t.d_connection.select(*lg.UNIT, "filedt"), lg.pending_aggregates(t.d_ledger), windows[0][0], windows[-1][1])
+    rows = lg.rows_of_units(t.d_connection.select(*lg.UNIT, "filedt"), lg.pending_aggregates(t.stored("d_ledger")), windows[0][0], windows[-1][1])
     number = F.coalesce(*[F.when(between_days("dt", first, last), i) for i, (first, last) in enumerate(windows)])
     return rows.groupBy(number.alias("window_no")).agg(
         F.count("*").alias("n"), F.min("dt").alias("first_day"), F.max("dt").alias("last_day"))

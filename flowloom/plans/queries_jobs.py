@@ -47,7 +47,7 @@ def _encoded(t, ctx):
     executions = pj.project_execution(t.d_raw_execution, SERVER_ENGINES)
     for name, rows in (("connection", t.d_connection), ("webrequest", t.d_webrequest), ("execution", executions)):
         sn.write_partitioned(rows, ctx.path(name), ["month"])
-    sn.append_ledger(t.d_ledger.filter(F.col("stage") != lg.AGGREGATE), ctx.path("meta"))
+    sn.append_ledger(t.stored("d_ledger").filter(F.col("stage") != lg.AGGREGATE), ctx.path("meta"))
 
 
 NEXT_UNITS = f"""SELECT * FROM ({PENDING_SQL.format('pipe2to3', 'connection', 'pipe3to4')}) x WHERE (engine, min_filedt) IN
@@ -114,7 +114,7 @@ WHERE (engine, dt, filedt) IN (SELECT (engine, dt, min_filedt) FROM ({AGGREGATE_
 def _(t):
     spark, ctx = t.spark, jobs.scratch(t.spark, "aggregate", **OPTIONS)
     sn.write_partitioned(t.d_resolved, ctx.path("resolved"), ["month"])
-    sn.append_ledger(t.d_ledger, ctx.path("meta"))
+    sn.append_ledger(t.stored("d_ledger"), ctx.path("meta"))
     for first, last in (("1990-01-01", "1998-01-15"), ("1998-01-10", "2010-01-01")):  # windows may overlap
         jobs.aggregate(spark, ctx, first, last)
     device = spark.read.parquet(ctx.path("agg/device")).select(*DAY_SHOWN, "I_ID_U", F.lit("device").alias("collecttype"))
@@ -228,7 +228,7 @@ def _(t):
     spark = t.spark
     ctx = jobs.scratch(spark, "publish", min_device_engines=4, min_server_engines=3, first_day="1998-11-02", **OPTIONS)
     _daily_tables(t, ctx)
-    recorded = t.d_ledger.filter((F.col("stage") == lg.ENCODE) & (F.col("filetype") == "connection"))
+    recorded = t.stored("d_ledger").filter((F.col("stage") == lg.ENCODE) & (F.col("filetype") == "connection"))
     sn.append_ledger(recorded.withColumn("stage", F.lit(lg.AGGREGATE)), ctx.path("meta"))
     written = jobs.publish(spark, ctx, "20160501-000000", t.d_users, t.d_application, t.d_mdm)
     return union_by_name([spark.read.parquet(path).agg(

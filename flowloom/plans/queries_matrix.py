@@ -11,6 +11,7 @@ from flowloom.operators import matrix as mx
 from flowloom.operators.aggregates import MEASURES
 from flowloom.operators.joining import union_by_name
 from flowloom.plans.queries_tables import ADDRESS_SITES
+from flowloom.plans.jobs import site_lookup
 from flowloom.plans.registry import query
 
 LIMIT = 24  # matrix limit of the example queries: rows, columns and the label column
@@ -43,7 +44,7 @@ GROUP BY Site ORDER BY Sum DESC, Site LIMIT {LIMIT}""")
 def _(t):
     flows = t.d_flows.filter(fl.closed_only()).select(
         "source_ip", "dest_ip", (F.col("con_traffic_in") + F.col("con_traffic_out")).alias(mx.TRAFFIC))
-    sites = lk.resolve_sites(flows, lk.site_segments(t.d_mdm), {"source_ip": mx.SRC, "dest_ip": mx.DST})
+    sites = lk.resolve_sites(flows, site_lookup(t.d_mdm), {"source_ip": mx.SRC, "dest_ip": mx.DST})
     return mx.top_sites(mx.traffic_edges(sites), LIMIT)
 
 

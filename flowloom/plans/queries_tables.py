@@ -11,6 +11,7 @@ from flowloom.operators import lookups as lk
 from flowloom.operators import projections as pj
 from flowloom.operators import sockets as sk
 from flowloom.operators.joining import union_by_name
+from flowloom.plans.jobs import site_lookup
 from flowloom.plans.registry import query
 
 SERVER_ENGINES = ["srv-engine-1", "srv-engine-2", "srv-engine-3"]
@@ -321,7 +322,7 @@ GROUP BY ALL HAVING count(DISTINCT engine) >= 4""")
 def _(t):
     from flowloom.operators.aggregates import valid_days
 
-    units = lg.earliest_files(t.d_ledger, lg.AGGREGATE)
+    units = lg.earliest_files(t.stored("d_ledger"), lg.AGGREGATE)
     return valid_days(units, "device", 4).select(F.lit("device").alias("collecttype"), "dt", "engine_count")
 
 
@@ -357,7 +358,7 @@ def _(t):
 @query("ledger_min_file", """
 SELECT filetype, collecttype, engine, dt, min(filedt) AS min_filedt FROM d_ledger WHERE stage = 'pipe2to3' GROUP BY ALL""")
 def _(t):
-    return lg.earliest_files(t.d_ledger, lg.ENCODE)
+    return lg.earliest_files(t.stored("d_ledger"), lg.ENCODE)
 
 
 @query("delta_earliest_file", """
@@ -365,7 +366,7 @@ SELECT c.I_ID_U, c.engine, c.dt, c.filedt, c.con_end, c.con_number FROM d_connec
 LEFT JOIN d_ledger_before b ON c.engine = b.engine AND c.dt = b.dt AND c.collecttype = b.collecttype
 WHERE b.filedt IS NULL OR b.filedt > c.filedt""")
 def _(t):
-    return lg.new_rows(t.d_connection, t.d_ledger_before, "connection").select(
+    return lg.new_rows(t.d_connection, t.stored("d_ledger_before"), "connection").select(
         "I_ID_U", "engine", "dt", "filedt", "con_end", "con_number")
 
 
@@ -377,7 +378,7 @@ EXCEPT SELECT filetype, collecttype, engine, dt, min(filedt) FROM d_ledger WHERE
 
 @query("ledger_delta_connection", PENDING_SQL.format("pipe2to3", "connection", "pipe3to4"))
 def _(t):
-    return lg.pending(t.d_ledger, lg.ENCODE, lg.RESOLVE, "connection")
+    return lg.pending(t.stored("d_ledger"), lg.ENCODE, lg.RESOLVE, "connection")
 
 
 @query("ledger_semi_webrequest", f"""
@@ -385,17 +386,17 @@ SELECT * FROM ({PENDING_SQL.format('pipe2to3', 'connection', 'pipe3to4')}) x WHE
   (SELECT (engine, min_filedt) FROM (SELECT engine, min(filedt) AS min_filedt FROM d_ledger
    WHERE stage = 'pipe2to3' AND filetype = 'webrequest' GROUP BY collecttype, engine, dt) y)""")
 def _(t):
-    return lg.pending_connections(t.d_ledger)
+    return lg.pending_connections(t.stored("d_ledger"))
 
 
 @query("ledger_delta_execution", PENDING_SQL.format("pipe2to3", "execution", "pipe3to4_Exec"))
 def _(t):
-    return lg.pending_executions(t.d_ledger)
+    return lg.pending_executions(t.stored("d_ledger"))
 
 
 @query("ledger_delta_aggregate", PENDING_SQL.format("pipe3to4", "connection", "pipe4to5"))
 def _(t):
-    return lg.pending_aggregates(t.d_ledger)
+    return lg.pending_aggregates(t.stored("d_ledger"))
 
 
 @query("select_by_ledger", f"""
@@ -404,7 +405,7 @@ JOIN ({PENDING_SQL.format('pipe3to4', 'connection', 'pipe4to5')}) u
   ON c.collecttype = u.collecttype AND c.engine = u.engine AND c.dt = u.dt AND c.filedt = u.min_filedt
 WHERE c.dt BETWEEN DATE '1997-01-01' AND DATE '1998-12-31'""")
 def _(t):
-    units = lg.pending_aggregates(t.d_ledger)
+    units = lg.pending_aggregates(t.stored("d_ledger"))
     return lg.rows_of_units(t.d_connection, units, "1997-01-01", "1998-12-31").select(
         "I_ID_U", "engine", "dt", "filedt", "con_end", "con_number")
 
@@ -417,15 +418,15 @@ EXCEPT SELECT filetype, server_ip, dt FROM d_socket_ledger WHERE stage = '{1}'""
 SELECT 'resolve' AS step, x.* FROM ({SOCKET_PENDING_SQL.format('encodesockets', 'resolvesockets')}) x
 UNION ALL SELECT 'aggregate' AS step, x.* FROM ({SOCKET_PENDING_SQL.format('resolvesockets', 'aggregatesockets')}) x""")
 def _(t):
-    resolve = lg.pending_sockets(t.d_socket_ledger)
-    aggregate = lg.pending_sockets(t.d_socket_ledger, lg.RESOLVE_SOCKETS, lg.AGGREGATE_SOCKETS)
+    resolve = lg.pending_sockets(t.stored("d_socket_ledger"))
+    aggregate = lg.pending_sockets(t.stored("d_socket_ledger"), lg.RESOLVE_SOCKETS, lg.AGGREGATE_SOCKETS)
     return union_by_name([resolve.withColumn("step", F.lit("resolve")), aggregate.withColumn("step", F.lit("aggregate"))])
 
 
 @query("delta_sockets", """
 SELECT server_ip, dt, pid, name, status FROM d_lsof WHERE dt >= '1998-06-01'""")
 def _(t):
-    before = t.d_socket_ledger.filter((F.col("stage") == lg.RESOLVE_SOCKETS)).withColumn("stage", F.lit(lg.ENCODE_SOCKETS))
+    before = t.stored("d_socket_ledger").filter((F.col("stage") == lg.RESOLVE_SOCKETS)).withColumn("stage", F.lit(lg.ENCODE_SOCKETS))
     return lg.new_snapshots(t.d_lsof, before, "lsof").select("server_ip", "dt", "pid", "name", "status")
 
 
@@ -465,7 +466,7 @@ SELECT f.I_ID_U, f.source_ip, f.dest_ip, f.con_end, f.con_number, coalesce(a.sit
 FROM d_connection f LEFT JOIN address_site a ON f.source_ip = a.ip LEFT JOIN address_site b ON f.dest_ip = b.ip""")
 def _(t):
     rows = t.d_connection.select("I_ID_U", "source_ip", "dest_ip", "con_end", "con_number")
-    return lk.resolve_sites(rows, lk.site_segments(t.d_mdm), {"source_ip": "source_site", "dest_ip": "dest_site"})
+    return lk.resolve_sites(rows, site_lookup(t.d_mdm), {"source_ip": "source_site", "dest_ip": "dest_site"})
 
 
 @query("ip_explode_lookup", """

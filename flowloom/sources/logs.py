@@ -34,31 +34,60 @@ def candidate_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.filter(F.col(column).contains("CONNECT_DATA") & F.col(column).contains("establish"))
 
 
-def _layout_of(line: Column) -> Column:
-    number = F.lit(None).cast("int")
-    for i in reversed(range(len(LAYOUTS))):
-        number = F.when(line.rlike(LAYOUTS[i][0]), i).otherwise(number)
-    return number
+_MARK = "\x01"  # stands between the captured parts
+
+
+def _after(line: Column, words: list[str], wanted: list[str]) -> Column:
+    """Whether one of ``wanted`` stands behind the first of one of ``words``: a cheap necessary test for a layout."""
+    test = F.lit(False)
+    for word in words:
+        rest = F.substr(line, F.locate(word, line))
+        for other in wanted:
+            test = test | ((F.locate(word, line) > 0) & rest.contains(other))
+    return test
+
+
+def _may_fit(line: Column, number: int) -> Column:
+    order = (_after(line, ["SID=", "SERVICE_NAME="], ["PROGRAM="]) if LAYOUTS[number][1][:6] == FIRST_ORDER
+             else _after(line, ["USER="], ["SID=", "SERVICE_NAME=", "sid="]))
+    return order & line.contains("(PORT=") if "host_port" in LAYOUTS[number][1] else order
+
+
+def _with_parts(lines: DataFrame, column: str) -> DataFrame:
+    """Add ``_parts``: number and captured texts of the first layout that fits, NULL when none does.
+
+    One replacement per layout tells whether it fits and captures all its parts.
+    The one-element explode keeps the optimizer from repeating that work for
+    every field taken from the result.
+    """
+    rows = candidate_lines(lines, column).withColumn("_line", F.regexp_replace(column, "<txt>", ""))
+    tries = []
+    for number, (pattern, order) in enumerate(LAYOUTS):
+        joined = _MARK.join(["", str(number), *[f"${i + 1}" for i in range(len(order))], ""])
+        replaced = F.regexp_replace("_line", pattern + ".*", joined)
+        tries.append(F.split(F.when(_may_fit(F.col("_line"), number), replaced), _MARK))
+    first = F.get(F.filter(F.array(*tries), lambda parts: F.size(parts) > 1), F.lit(0))
+    return rows.select(*lines.columns, F.explode(F.array(first)).alias("_parts"))
 
 
 def parse_listener(lines: DataFrame, column: str = "value") -> DataFrame:
     """Fields of every line that one of the layouts fits; other columns are kept."""
-    found = candidate_lines(lines, column).withColumn("_line", F.regexp_replace(column, "<txt>", "")).withColumn("_layout", _layout_of(F.col("_line")))
+    found = _with_parts(lines, column).filter(F.col("_parts").isNotNull())
+    layout = F.get("_parts", F.lit(1))
     values = {}
     for field in FIELDS:
         value = F.lit("unknown")
-        for i, (pattern, order) in enumerate(LAYOUTS):
+        for number, (_, order) in enumerate(LAYOUTS):
             if field in order:
-                part = F.regexp_extract("_line", pattern, order.index(field) + 1)
-                value = F.when(F.col("_layout") == i, part).otherwise(value)
+                value = F.when(layout == str(number), F.get("_parts", F.lit(order.index(field) + 2))).otherwise(value)
         values[field] = value if field in AS_WRITTEN else F.lower(value)
     kept = [c for c in lines.columns if c != column]
-    return found.filter(F.col("_layout").isNotNull()).select(*kept, *[values[f].alias(f) for f in FIELDS])
+    return found.select(*kept, *[values[f].alias(f) for f in FIELDS])
 
 
 def quarantine(lines: DataFrame, column: str = "value") -> DataFrame:
     """Connection lines that no layout fits."""
-    return candidate_lines(lines, column).filter(_layout_of(F.regexp_replace(column, "<txt>", "")).isNull())
+    return _with_parts(lines, column).filter(F.col("_parts").isNull()).select(*lines.columns)
 
 
 def log_coverage(parsed: DataFrame, file_columns: list[str]) -> DataFrame:
