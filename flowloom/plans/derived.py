@@ -16,7 +16,7 @@ from flowloom.session import cut_lineage
 
 BASE_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
-SPREAD_FROM, SPREAD_TO = 1 << 19, 1 << 27  # file sizes between which a one-file table is spread over the cores
+SPREAD_FROM, SPREAD_TO = 1 << 21, 1 << 27  # file sizes between which a one-file table is spread over the cores
 
 STORED = {"d_units"}  # derived tables that several parts of a query read: written once
 

@@ -343,7 +343,24 @@ def weighted_graph(edges: DataFrame, max_nodes: int = 100, ceiling: float = 1_00
 
 # -- pseudonyms ----------------------------------------------------------------------------------------------------
 
-# Name columns of each feed → identifier columns; the first of a pair in USER_NAMES is cleaned of its domain suffix.
+def read_feed(spark: SparkSession, paths, kind: str) -> DataFrame:
+    """A raw tab-separated extract of one width with its columns named, and engine and file date from its file name."""
+    raw = spark.read.options(sep="\t", header=False).csv(paths)
+    origin = ["engine", "filedt"]
+    tagged = rd.with_file_metadata(raw).select(*raw.columns, *origin)
+    if kind == "webrequest":
+        return pj.pick_positions(tagged, {**pj.RAW_WEBREQUEST, len(raw.columns) + 1: "engine", len(raw.columns) + 2: "filedt"})
+    if kind == "connection":
+        return pj.name_columns(tagged, [*pj.RAW_CONNECTION, *origin], [*pj.RAW_CONNECTION_KEEP, *origin])
+    if kind == "execution":
+        return pj.name_columns(tagged, [*pj.raw_execution_names(len(raw.columns)), *origin])
+    if kind == "bigfix":
+        kept = [c for c in pj.RAW_INVENTORY if c not in pj.INVENTORY_PERSONAL]
+        return pj.name_columns(tagged, [*pj.RAW_INVENTORY, *origin], kept)
+    raise ValueError(f"unknown feed {kind!r}")
+
+
+# Name columns of each feed → identifier columns; those in USER_NAMES are cleaned of the domain suffix.
 FEED_NAMES = {
     "connection": {"NX_user_name": "I_ID_U", "NX_device_name": "I_ID_D"},
     "webrequest": {"wr_device_name": "I_ID_D"},

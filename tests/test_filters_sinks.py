@@ -134,3 +134,22 @@ def test_widths_of_executions(spark):
     one = spark.createDataFrame([["v"] * 14], ["I_ID_D", "I_ID_U", *list(pj.EXECUTION)[2:14]]).selectExpr("*", "'e' engine", "'f' filedt")
     row = pj.project_execution(one, []).first()
     assert row["source_ip"] == "" and row["app_bin_hash"] is None and row["collecttype"] == "device"
+
+
+def test_raw_feed_to_pseudonyms(spark):
+    from flowloom.plans import jobs
+
+    folder = work_path(spark, "feed")
+    os.makedirs(folder)
+    with open(f"{folder}/connection_eng7_20160501.tgz.csv", "w") as out:
+        out.write("\t".join(f"v{i}" for i in range(16)) + "\tPC1\t10.0.0.1\tlast\tAnn.CORP.example\t1\tdep\tsid\tfull\tdn\n")
+    feed = jobs.read_feed(spark, folder, "connection")
+    ctx = jobs.scratch(spark, "feed", key="k")
+    dictionary = spark.createDataFrame([("ann", "id1")], pv.DICTIONARY_SCHEMA)
+    clean, entries = jobs.pseudonymize_feed(feed, "connection", dictionary, ctx)
+    row = clean.first()
+    assert (row["I_ID_U"], row["engine"], row["filedt"], row["NX_con_start_time"]) == ("id1", "eng7", "20160501", "v0")
+    assert not {"NX_user_name", "NX_device_name", "NX_user_full_name"} & set(clean.columns)
+    assert [r["name"] for r in entries.collect()] == ["pc1"]
+    with pytest.raises(ValueError):
+        jobs.pseudonymize_feed(feed, "other", dictionary, ctx)
