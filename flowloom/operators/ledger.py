@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.operators.joining import anti_join, lookup_join, semi_join, union_by_name
+from flowloom.session import cut_lineage
 
 # One stage name per job.
 ENCODE, RESOLVE, RESOLVE_EXECUTION, AGGREGATE = "pipe2to3", "pipe3to4", "pipe3to4_Exec", "pipe4to5"
@@ -99,7 +100,8 @@ def complete_units(coverage: DataFrame, first_hour: int = 3, last_hour: int = 23
 
 def complete_rows(rows: DataFrame, end_hour) -> DataFrame:
     """Rows of days that were delivered from the first to the last hours."""
-    units = complete_units(hour_coverage(rows, end_hour)).select(*UNIT, "filedt")
+    # Found in one narrow pass and written, so that measuring and joining the units does not repeat it.
+    units = cut_lineage(complete_units(hour_coverage(rows, end_hour)).select(*UNIT, "filedt"), "whole-days")
     return semi_join(rows, units, [*UNIT, "filedt"])
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from flowloom.functions import sanitize_label, site_label
 from flowloom.operators.aggregates import MEASURES
 from flowloom.operators.joining import lookup_join, semi_join
+from flowloom.session import cut_lineage
 
 SRC, DST, TRAFFIC = "SiteCode_Source", "SiteCode_Destination", "Traffic"
 UNCLUSTERED = 999
@@ -111,7 +112,7 @@ def fitting_sites(edges: DataFrame, limit: int) -> DataFrame:
 
 
 def shrink_matrix(edges: DataFrame, limit: int) -> DataFrame:
-    kept = fitting_sites(edges, limit)
+    kept = cut_lineage(fitting_sites(edges, limit), "kept")
     inside = semi_join(edges, kept.withColumnRenamed("Site", SRC), [SRC])
     return semi_join(inside, kept.withColumnRenamed("Site", DST), [DST])
 
@@ -130,8 +131,8 @@ def shrink_edges(edges: DataFrame, max_nodes: int, source: str = "source", dest:
                  weight: str = "traffic") -> DataFrame:
     """The heaviest edges, at most ``10 * max_nodes``, cut further until their nodes fit ``max_nodes``."""
     order = [F.col(weight).desc(), F.col(source), F.col(dest)]
-    ranked = (edges.orderBy(*order).limit(10 * max_nodes)
-              .withColumn("_rank", F.row_number().over(W.orderBy(*order))))
+    ranked = cut_lineage(edges.orderBy(*order).limit(10 * max_nodes)
+                         .withColumn("_rank", F.row_number().over(W.orderBy(*order))), "heaviest")
     first_seen = (ranked.select(F.explode(F.array(source, dest)).alias("node"), "_rank")
                   .groupBy("node").agg(F.min("_rank").alias("_rank"))
                   .groupBy("_rank").agg(F.count("*").alias("_new")))
@@ -204,7 +205,8 @@ def traffic_by_app(detail: DataFrame, app: str = "source_app_name") -> DataFrame
 
 def drilldown_server(server_flows: DataFrame, result: DataFrame) -> DataFrame:
     """Server flows that start at a destination of the present result."""
-    return semi_join(server_flows, result.select(F.col("dest_ip").alias("source_ip")).distinct(), ["source_ip"])
+    servers = cut_lineage(result.select(F.col("dest_ip").alias("source_ip")).distinct(), "servers")
+    return semi_join(server_flows, servers, ["source_ip"])
 
 
 def clean_edges(edges: DataFrame, source: str = "source", dest: str = "destination", weight: str = "traffic") -> DataFrame:

@@ -337,7 +337,7 @@ def sitemap(cube: DataFrame, sites: DataFrame, categories: DataFrame, measure: s
 
 def weighted_graph(edges: DataFrame, max_nodes: int = 100, ceiling: float = 1_000_000) -> tuple[DataFrame, int]:
     """Bounded graph of a three-column input with readable labels, and its unit as a power of ten."""
-    scaled, unit = mx.rescale(mx.clean_edges(edges), "traffic", ceiling)
+    scaled, unit = mx.rescale(cut_lineage(mx.clean_edges(edges), "edges"), "traffic", ceiling)
     return mx.label_edges(mx.shrink_edges(scaled, max_nodes)), unit
 
 

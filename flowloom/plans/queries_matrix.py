@@ -13,6 +13,7 @@ from flowloom.operators.joining import union_by_name
 from flowloom.plans.queries_tables import ADDRESS_SITES
 from flowloom.plans.jobs import site_lookup
 from flowloom.plans.registry import query
+from flowloom.session import cut_lineage
 
 LIMIT = 24  # matrix limit of the example queries: rows, columns and the label column
 
@@ -22,6 +23,11 @@ def edges(t, measure: str = "SumData"):
     return mx.traffic_edges(mx.with_measure(t.d_cube.filter(fl.closed_only()), measure))
 
 
+def written_edges(t):
+    """The same, written once: the reductions read the few pairs of sites several times."""
+    return cut_lineage(edges(t), "edges")
+
+
 EDGES_SQL = """SELECT SiteCode_Source, SiteCode_Destination, CAST(sum(con_traffic) AS DOUBLE) AS Traffic
 FROM d_cube WHERE con_status = 'closed' AND con_traffic <> 0 GROUP BY ALL"""
 
@@ -58,7 +64,7 @@ SHRUNK_SQL = f"SELECT * FROM ({EDGES_SQL}) e WHERE SiteCode_Source IN ({KEPT_SQL
 
 @query("shrink_matrix", SHRUNK_SQL)
 def _(t):
-    return mx.shrink_matrix(edges(t), LIMIT)
+    return mx.shrink_matrix(written_edges(t), LIMIT)
 
 
 RESCALE_STEPS = """(SELECT CASE WHEN max(Traffic) < 1e6 THEN 0 WHEN round_even(max(Traffic) / 1000, 0) < 1e6 THEN 1
@@ -75,7 +81,7 @@ def _rescaled(value: str) -> str:
 WITH e AS ({EDGES_SQL}) SELECT SiteCode_Source, SiteCode_Destination, {_rescaled('Traffic')} AS Traffic,
   CAST(3 * {RESCALE_STEPS} AS INTEGER) AS unit FROM e""")
 def _(t):
-    scaled, unit = mx.rescale(edges(t))
+    scaled, unit = mx.rescale(written_edges(t))
     return scaled.withColumn("unit", F.lit(unit))
 
 
@@ -123,7 +129,7 @@ SELECT s.SiteCode_Source, d.SiteCode_Destination, coalesce(e.Traffic, 0) AS Traf
 FROM (SELECT DISTINCT SiteCode_Source FROM ({SHRUNK_SQL}) a) s CROSS JOIN (SELECT DISTINCT SiteCode_Destination FROM ({SHRUNK_SQL}) b) d
 LEFT JOIN ({SHRUNK_SQL}) e ON e.SiteCode_Source = s.SiteCode_Source AND e.SiteCode_Destination = d.SiteCode_Destination""")
 def _(t):
-    return mx.gather(mx.spread(mx.shrink_matrix(edges(t), LIMIT), LIMIT))
+    return mx.gather(mx.spread(mx.shrink_matrix(written_edges(t), LIMIT), LIMIT))
 
 
 @query("graph_symmetrize", f"""
@@ -184,9 +190,9 @@ def _(t):
 
 @query("cluster_mcl")
 def _(t):
-    return cl.markov_clusters(mx.shrink_matrix(edges(t), LIMIT))
+    return cl.markov_clusters(mx.shrink_matrix(written_edges(t), LIMIT))
 
 
 @query("cluster_kmeans")
 def _(t):
-    return cl.kmeans_clusters(mx.shrink_matrix(edges(t), LIMIT), 4)
+    return cl.kmeans_clusters(mx.shrink_matrix(written_edges(t), LIMIT), 4)

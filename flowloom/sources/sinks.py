@@ -39,8 +39,9 @@ def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str
         write_partitioned(df, path, partitions)
         return
     rows = df if staged else cut_lineage(df, "units")
-    touched = rows.select(*partitions).distinct()
-    others = anti_join(semi_join(stored, touched, partitions), rows.select(*units).distinct(), units)
+    written = cut_lineage(rows.select(*dict.fromkeys([*partitions, *units])).distinct(), "touched")
+    touched = written.select(*partitions).distinct()
+    others = anti_join(semi_join(stored, touched, partitions), written.select(*units).distinct(), units)
     write_partitioned(rows.unionByName(others.select(*rows.columns)), path, partitions)
 
 
