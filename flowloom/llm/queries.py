@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from flowloom.llm.lm_scoring import lm_scores
+from flowloom.llm.pfp_dedup import repeated_bytes
 from flowloom.llm.registry import CHECKS, QUERIES, query, table
 from flowloom.llm.substring_dedup import substring_dedup
 
@@ -23,3 +25,33 @@ FROM words LEFT JOIN kept USING (doc_id)""")
 def op2(spark, folder):
     found = substring_dedup(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_repeated_bytes")
+def op6(spark, folder):
+    found = repeated_bytes(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op9_lm_scores", """
+WITH w AS (SELECT doc_id, unnest(x) AS c, unnest(range(1, len(x) + 1)) AS i
+           FROM (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \\x09-\\x0D]+') AS x FROM documents)),
+t AS (SELECT doc_id, i, c, lag(c) OVER d AS b, lag(c, 2) OVER d AS a FROM w WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+n AS (SELECT doc_id, count(*) AS own, sum(count(*)) OVER () - count(*) AS rest FROM w GROUP BY doc_id),
+k1 AS (SELECT doc_id, c, sum(k) OVER (PARTITION BY c) - k AS k FROM (SELECT doc_id, c, count(*) AS k FROM t GROUP BY ALL)),
+k2 AS (SELECT doc_id, b, c, sum(k) OVER (PARTITION BY b, c) - k AS k FROM (SELECT doc_id, b, c, count(*) AS k FROM t WHERE b IS NOT NULL GROUP BY ALL)),
+k3 AS (SELECT doc_id, a, b, c, sum(k) OVER (PARTITION BY a, b, c) - k AS k
+       FROM (SELECT doc_id, a, b, c, count(*) AS k FROM t WHERE a IS NOT NULL GROUP BY ALL)),
+s AS (SELECT t.doc_id, CASE WHEN k3.k > 0 THEN ln(k3.k) - ln(kab.k)
+        WHEN kbc.k > 0 THEN ln(kbc.k) - ln(kb.k) + CASE WHEN a IS NULL THEN 0 ELSE ln(0.4) END
+        ELSE ln(greatest(kc.k, 1)) - ln(CASE WHEN kc.k > 0 THEN rest ELSE rest + 1 END)
+             + ln(0.4) * (CASE WHEN b IS NULL THEN 0 ELSE 1 END + CASE WHEN a IS NULL THEN 0 ELSE 1 END) END AS v
+      FROM t JOIN n USING (doc_id) LEFT JOIN k1 kc ON kc.doc_id = t.doc_id AND kc.c = t.c
+      LEFT JOIN k1 kb ON kb.doc_id = t.doc_id AND kb.c = t.b LEFT JOIN k2 kbc ON kbc.doc_id = t.doc_id AND kbc.b = t.b AND kbc.c = t.c
+      LEFT JOIN k2 kab ON kab.doc_id = t.doc_id AND kab.b = t.a AND kab.c = t.b
+      LEFT JOIN k3 ON k3.doc_id = t.doc_id AND k3.a = t.a AND k3.b = t.b AND k3.c = t.c)
+SELECT d.doc_id, count(v)::BIGINT AS n_tokens, round(coalesce(sum(v), 0), 4) AS log_score, round(avg(v), 6) AS mean_log_score
+FROM documents d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id""")
+def op9(spark, folder):
+    found = lm_scores(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
