@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
+from flowloom.llm.ann import nearest
+from flowloom.llm.bpe import encode_texts
+from flowloom.llm.decontaminate import leaks
 from flowloom.llm.lm_scoring import lm_scores
 from flowloom.llm.pfp_dedup import repeated_bytes
 from flowloom.llm.registry import CHECKS, QUERIES, query, table
+from flowloom.llm.simhash import simhash_groups
 from flowloom.llm.substring_dedup import substring_dedup
+from flowloom.llm.toxicity import label_categories, toxicity
 
 __all__ = ["CHECKS", "QUERIES"]
 
@@ -43,9 +49,9 @@ k2 AS (SELECT doc_id, b, c, sum(k) OVER (PARTITION BY b, c) - k AS k FROM (SELEC
 k3 AS (SELECT doc_id, a, b, c, sum(k) OVER (PARTITION BY a, b, c) - k AS k
        FROM (SELECT doc_id, a, b, c, count(*) AS k FROM t WHERE a IS NOT NULL GROUP BY ALL)),
 s AS (SELECT t.doc_id, CASE WHEN k3.k > 0 THEN ln(k3.k) - ln(kab.k)
-        WHEN kbc.k > 0 THEN ln(kbc.k) - ln(kb.k) + CASE WHEN a IS NULL THEN 0 ELSE ln(0.4) END
+        WHEN kbc.k > 0 THEN ln(kbc.k) - ln(kb.k) + CASE WHEN t.a IS NULL THEN 0 ELSE ln(0.4) END
         ELSE ln(greatest(kc.k, 1)) - ln(CASE WHEN kc.k > 0 THEN rest ELSE rest + 1 END)
-             + ln(0.4) * (CASE WHEN b IS NULL THEN 0 ELSE 1 END + CASE WHEN a IS NULL THEN 0 ELSE 1 END) END AS v
+             + ln(0.4) * (CASE WHEN t.b IS NULL THEN 0 ELSE 1 END + CASE WHEN t.a IS NULL THEN 0 ELSE 1 END) END AS v
       FROM t JOIN n USING (doc_id) LEFT JOIN k1 kc ON kc.doc_id = t.doc_id AND kc.c = t.c
       LEFT JOIN k1 kb ON kb.doc_id = t.doc_id AND kb.c = t.b LEFT JOIN k2 kbc ON kbc.doc_id = t.doc_id AND kbc.b = t.b AND kbc.c = t.c
       LEFT JOIN k2 kab ON kab.doc_id = t.doc_id AND kab.b = t.a AND kab.c = t.b
@@ -55,3 +61,33 @@ FROM documents d LEFT JOIN s USING (doc_id) GROUP BY d.doc_id""")
 def op9(spark, folder):
     found = lm_scores(table(spark, folder, "documents"))
     return found.select("doc_id", "n_tokens", F.round("log_score", 4).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+@query("op3_decontaminate")
+def op3(spark, folder):
+    return leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op4_nearest")
+def op4(spark, folder):
+    vectors = table(spark, folder, "embeddings")
+    return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0))
+
+
+@query("op5_byte_bpe")
+def op5(spark, folder):
+    coded = encode_texts(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op7_toxicity")
+def op7(spark, folder):
+    scored = toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), label_categories())
+    return scored.withColumn("toxic", F.col("p_toxic") >= 0.5)
+
+
+@query("op8_simhash")
+def op8(spark, folder):
+    found = simhash_groups(table(spark, folder, "documents"), shingle=3, radius=2)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

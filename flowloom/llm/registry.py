@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,9 +12,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 CHECKS: dict[str, str] = {}
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Python workers on this machine import the package wherever the driver was started; on a cluster it is installed or sent with --py-files."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *[x for x in known if x]])
+
+
 def query(name: str, check: str | None = None):
     def wrap(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def run(spark, folder):
+            workers_find_package(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = run
         if check is not None:
             CHECKS[name] = check
         return fn

@@ -80,9 +80,10 @@ def stretch_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def word_edges(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_edges(data: np.ndarray, between: np.ndarray = IS_SPACE) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word; ``between`` tells for each byte value whether it parts words."""
     space = np.ones(len(data) + 1, bool)
-    space[1:] = IS_SPACE[data]
+    space[1:] = between[data]
     edges = np.flatnonzero(space[1:] != space[:-1])
     return edges[::2], edges[1::2]
 
@@ -115,10 +116,8 @@ def spread_back(values: np.ndarray, order: np.ndarray, counts: np.ndarray) -> np
 
 def covered(starts: np.ndarray, length: int, n: int) -> np.ndarray:
     """Which of ``n`` places lie in [s, s + length) for some start s."""
-    steps = np.zeros(n + 1, np.int64)
-    np.add.at(steps, starts, 1)
-    np.add.at(steps, np.minimum(starts + length, n), -1)
-    return np.cumsum(steps[:-1]) > 0
+    steps = np.bincount(starts, minlength=n + 1) - np.bincount(np.minimum(starts + length, n), minlength=n + 1)
+    return np.cumsum(steps[:n]) > 0
 
 
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
