@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from flowloom.llm.ann import nearest
 from flowloom.llm.bpe import encode_texts
 from flowloom.llm.decontaminate import leaks
+from flowloom.llm.line_dedup import line_dedup
 from flowloom.llm.lm_scoring import lm_scores
 from flowloom.llm.pfp_dedup import repeated_bytes
 from flowloom.llm.registry import CHECKS, QUERIES, query, table
+from flowloom.llm.secret_scan import digest, secret_scan
 from flowloom.llm.simhash import simhash_groups
 from flowloom.llm.substring_dedup import substring_dedup
 from flowloom.llm.toxicity import label_categories, toxicity
@@ -91,3 +93,16 @@ def op7(spark, folder):
 def op8(spark, folder):
     found = simhash_groups(table(spark, folder, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op1_secret_scan")
+def op1(spark, folder):
+    return digest(secret_scan(table(spark, folder, "documents")))
+
+
+@query("op10_line_dedup")
+def op10(spark, folder):
+    found = line_dedup(table(spark, folder, "documents"))
+    lines = F.aggregate("removed_chunks", F.lit(0).cast("long"), lambda n, c: n + c["last"] - c["first"] + 1)
+    return found.select("doc_id", F.size("removed_chunks").cast("long").alias("n_removed_chunks"), lines.alias("n_removed_lines"),
+                        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))

@@ -19,8 +19,10 @@ from flowloom.llm import textbytes as B
 SAMPLE = 8000
 FOLDS = 5
 WORDS = 200
-LEAST_DOCUMENTS = 8
-RIDGE = 0.02
+LEAST_DOCUMENTS = 5
+LEAST_SHARE = 0.02
+LEAST_CHI_SQUARE = 40
+RIDGE = 0.05
 STYLE = ("log_words", "letters", "capitals", "digits", "marks")
 
 _NO_LETTER = np.ones(256, bool)
@@ -68,15 +70,19 @@ class Linear:
 
 
 def _chosen(who: np.ndarray, words: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """The ``WORDS`` words whose presence differs most between the classes, by chi-square, sorted."""
+    """Up to ``WORDS`` words whose presence differs most between the classes, by chi-square, sorted.
+
+    Words of a few documents are left out: a handful of copies would make each of their words telling.
+    """
     keys, _, _, counts = B.unique_sorted(words)
     yes = np.add.reduceat(y[who][np.argsort(words, kind="stable")], np.concatenate(([0], np.cumsum(counts)[:-1]))) if len(keys) else np.zeros(0)
     n, positive = len(y), y.sum()
     expected = counts * positive / max(n, 1)
     spread = expected * (1 - positive / max(n, 1)) * (1 - counts / max(n, 1))
-    score = np.where((counts >= LEAST_DOCUMENTS) & (spread > 0), (yes - expected) ** 2 / np.maximum(spread, 1e-9), 0)
+    enough = max(LEAST_DOCUMENTS, LEAST_SHARE * min(positive, n - positive))
+    score = np.where((counts >= enough) & (spread > 0), (yes - expected) ** 2 / np.maximum(spread, 1e-9), 0)
     best = np.lexsort((keys, -score))[:WORDS]
-    return np.sort(keys[best[score[best] > 15]])
+    return np.sort(keys[best[score[best] > LEAST_CHI_SQUARE]])
 
 
 def _table(n: int, who: np.ndarray, words: np.ndarray, chosen: np.ndarray) -> np.ndarray:
@@ -176,12 +182,16 @@ def toxicity(docs: DataFrame, labels: DataFrame, categories: list, sample: int =
     Null and empty texts are scored as texts without words. Repeated rows and null ids stay. Without any labelled
     document there is no model and every probability is 0. Other columns are ignored.
     """
-    chain = train(docs, labels, categories, sample, doc_id, text)
+    return score(docs, train(docs, labels, categories, sample, doc_id, text), [name for name, _ in categories], doc_id, text)
+
+
+def score(docs: DataFrame, chain: list[Linear], names: list[str], doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row of ``docs``: doc_id and the probability of each category under a fitted chain."""
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     if not chain:
-        return plain.select("doc_id", *[F.lit(0.0).alias(name) for name, _ in categories])
+        return plain.select("doc_id", *[F.lit(0.0).alias(name) for name in names])
     scored = plain.mapInPandas(_score(chain), "doc_id long, " + ", ".join(f"p{i} double" for i in range(len(chain))))
-    return scored.select("doc_id", *[F.col(f"p{i}").alias(name) for i, (name, _) in enumerate(categories)])
+    return scored.select("doc_id", *[F.col(f"p{i}").alias(name) for i, name in enumerate(names)])
 
 
 def label_categories() -> list:
