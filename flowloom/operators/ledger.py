@@ -89,6 +89,13 @@ def rows_of_units(rows: DataFrame, units: DataFrame, first: str | None = None, l
     return semi_join(rows, wanted, [*UNIT, "filedt"])
 
 
+def in_days_of(rows: DataFrame, units: DataFrame) -> DataFrame:
+    """Rows on the days of the units. The days, at most one value per calendar day, become literals, so only
+    their partitions of a stored table are read. ``units`` should be a written table."""
+    days = [r["dt"] for r in units.select("dt").distinct().orderBy("dt").collect()]
+    return rows.filter(F.col("dt").isin(days) if days else F.lit(False))
+
+
 def hour_coverage(rows: DataFrame, end_hour) -> DataFrame:
     """First and last hour seen per unit and file."""
     return rows.groupBy(*UNIT, "filedt").agg(F.min(end_hour).alias("min_hour"), F.max(end_hour).alias("max_hour"))

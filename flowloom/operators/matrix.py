@@ -154,6 +154,8 @@ def spread(edges: DataFrame, limit: int, names: list[str] | None = None, source:
     """
     if names is None:
         names = [r[0] for r in edges.select(dest).distinct().orderBy(dest).limit(limit + 1).collect()]
+    elif not edges.filter(~F.col(dest).isin(names) | F.col(dest).isNull()).isEmpty():
+        raise ValueError("the edges have destinations that are not among the names")
     if len(names) > limit:
         raise ValueError(f"more than {limit} destinations; shrink the edges before spreading them")
     return edges.groupBy(source).pivot(dest, names).agg(F.sum(weight)).fillna(0)

@@ -17,7 +17,10 @@ from flowloom.operators.lookups import best_row
 DICTIONARY_SCHEMA = "name string, I_ID string"
 
 
-def pseudonym(name: Column, key: str) -> Column:
+def pseudonym(name: Column, key: str | None) -> Column:
+    """Keyed hash of a name. Without a key of its own a site would publish hashes that anyone can compute."""
+    if not key:
+        raise ValueError("pseudonyms need a secret key")
     return F.sha2(F.concat(F.lit(key), F.lit(":"), F.lower(name)), 256)
 
 

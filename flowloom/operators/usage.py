@@ -20,10 +20,23 @@ GRAINS = {"day": ["dt", "month"], "month": ["month"], "all": []}
 
 
 def pivot_metrics(usage: DataFrame, table: str, names: list[str] | None = None) -> DataFrame:
-    """Mean of each metric in a column of its own; the names are given, so no discovery job runs."""
+    """Mean of each metric in a column of its own: ``names``, else those of ``METRICS``.
+
+    A metric of the table that is not among them is an error; ``metric_names`` finds all.
+    """
     rows = usage.filter(F.col("table").startswith(table) & (F.col("table") != "app")).select(
         "date", "server", fix_metric_name(F.col("name")).alias("name"), "value", metric_tags(F.col("table")).alias("tags"))
-    return rows.groupBy("date", "server", "tags").pivot("name", names or METRICS[table]).agg(F.avg("value"))
+    names = names or METRICS[table]
+    other = sorted(r["name"] for r in rows.filter(~F.col("name").isin(names)).select("name").distinct().limit(20).collect())
+    if other:
+        raise ValueError(f"metrics of {table} that are not asked for: {other}")
+    return rows.groupBy("date", "server", "tags").pivot("name", names).agg(F.avg("value"))
+
+
+def metric_names(usage: DataFrame, table: str) -> list[str]:
+    """All metrics that occur in the table, sorted; a short list, as they become columns."""
+    rows = usage.filter(F.col("table").startswith(table) & (F.col("table") != "app"))
+    return sorted(r[0] for r in rows.select(fix_metric_name(F.col("name"))).distinct().dropna().collect())
 
 
 def _whole(value: Column) -> Column:

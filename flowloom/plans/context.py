@@ -11,8 +11,8 @@ class JobContext:
 
     root: str
     server_engines: tuple[str, ...] = ()
-    partitions: tuple[str, ...] = ("month", "dt")
-    key: str = "change-me"
+    partitions: tuple[str, ...] = ("month", "dt", "engine")
+    key: str | None = None
     domain_suffix: str = ".corp.example"
     min_device_engines: int = 18
     min_server_engines: int = 3

@@ -29,9 +29,6 @@ from flowloom.session import cut_lineage, work_path
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
 
-FILE_UNIT = [*lg.UNIT, "filedt"]
-
-
 def event_ledger(spark: SparkSession, ctx: JobContext) -> DataFrame:
     return rd.read_or_empty(spark, ctx.path("meta"), lg.LEDGER_SCHEMA)
 
@@ -62,9 +59,10 @@ def encode_rows(spark: SparkSession, ctx: JobContext, filetype: str, raw: DataFr
 def encode(spark: SparkSession, ctx: JobContext, inputs: dict[str, DataFrame]) -> None:
     """Encode raw extracts, given by file type."""
     for filetype, raw in inputs.items():
+        # Encoded rows are kept by file; the jobs after this one take the earliest file of a unit and replace what they stored from a later one.
         # One pass over the extract: the new whole days are written apart, then stored and recorded.
         rows = cut_lineage(encode_rows(spark, ctx, filetype, raw), f"encode-{filetype}")
-        _store(rows, ctx, filetype, FILE_UNIT, lg.ledger_entries(rows, filetype, lg.ENCODE), "meta", staged=True)
+        _store(rows, ctx, filetype, [*lg.UNIT, "filedt"], lg.ledger_entries(rows, filetype, lg.ENCODE), "meta", staged=True)
 
 
 def encode_files(spark: SparkSession, ctx: JobContext, paths: list[str]) -> None:
@@ -79,6 +77,11 @@ def encode_files(spark: SparkSession, ctx: JobContext, paths: list[str]) -> None
     encode(spark, ctx, inputs)
 
 
+def _stored_rows(spark: SparkSession, ctx: JobContext, folder: str, units: DataFrame) -> DataFrame:
+    """Stored rows of the units, from the partitions of their days alone."""
+    return lg.rows_of_units(lg.in_days_of(spark.read.parquet(ctx.path(folder)), units), units)
+
+
 def _recorded(units: DataFrame, stage: str) -> DataFrame:
     return units.select("filetype", F.lit(stage).alias("stage"), *lg.UNIT, F.col("min_filedt").alias("filedt")).distinct()
 
@@ -107,10 +110,10 @@ def resolve(spark: SparkSession, ctx: JobContext, ranges: DataFrame, identities:
             first: str | None = None, last: str | None = None) -> None:
     """Resolve the encoded connections whose web requests have arrived too."""
     units = cut_lineage(_window(lg.pending_connections(event_ledger(spark, ctx)), first, last), "units")
-    connections = lg.rows_of_units(spark.read.parquet(ctx.path("connection")), units)
-    webrequests = lg.rows_of_units(spark.read.parquet(ctx.path("webrequest")), units)
+    connections = _stored_rows(spark, ctx, "connection", units)
+    webrequests = _stored_rows(spark, ctx, "webrequest", units)
     rows = resolve_connections(connections, webrequests, ranges, identities, assets)
-    _store(rows, ctx, "resolved", FILE_UNIT, _recorded(units, lg.RESOLVE), "meta")
+    _store(rows, ctx, "resolved", lg.UNIT, _recorded(units, lg.RESOLVE), "meta")
 
 
 def resolve_execution_rows(executions: DataFrame, ranges: DataFrame, identities: DataFrame, assets: DataFrame) -> DataFrame:
@@ -121,19 +124,19 @@ def resolve_execution_rows(executions: DataFrame, ranges: DataFrame, identities:
 def resolve_executions(spark: SparkSession, ctx: JobContext, ranges: DataFrame, identities: DataFrame, assets: DataFrame,
                        first: str | None = None, last: str | None = None) -> None:
     units = cut_lineage(_window(lg.pending_executions(event_ledger(spark, ctx)), first, last), "units")
-    executions = lg.rows_of_units(spark.read.parquet(ctx.path("execution")), units)
+    executions = _stored_rows(spark, ctx, "execution", units)
     rows = resolve_execution_rows(executions, ranges, identities, assets)
-    _store(rows, ctx, "resolved_execution", FILE_UNIT, _recorded(units, lg.RESOLVE_EXECUTION), "meta")
+    _store(rows, ctx, "resolved_execution", lg.UNIT, _recorded(units, lg.RESOLVE_EXECUTION), "meta")
 
 
 def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, last: str | None = None) -> None:
     """Daily aggregates of the resolved connections."""
     units = cut_lineage(_window(lg.pending_aggregates(event_ledger(spark, ctx)), first, last), "units")
-    rows = lg.rows_of_units(spark.read.parquet(ctx.path("resolved")), units)
+    rows = _stored_rows(spark, ctx, "resolved", units)
     server = ag.agg_server_day(rows.filter(F.col("collecttype") == "server"))
     device = ag.agg_device_day(rows.filter(F.col("collecttype") == "device"))
     for folder, daily in (("agg/server", server), ("agg/device", device)):
-        sn.write_units(daily, ctx.path(folder), ["dt", "engine", "filedt"], list(ctx.partitions))
+        sn.write_units(daily, ctx.path(folder), ["dt", "engine"], list(ctx.partitions))
     sn.append_ledger(_recorded(units, lg.AGGREGATE), ctx.path("meta"))
 
 
@@ -269,13 +272,13 @@ def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFr
                 sn.write_table(ag.cube_without_detail(stored, collecttype, resolution), written[small])
         if exports:
             prefix = "DateRangeServer" if collecttype == "server" else "DateRange"
-            written[prefix] = sn.export_csv(ranges_of_days, target, f"{prefix}.csv.gz", allowed_root=ctx.export_root)
+            written[prefix] = sn.export_csv(ranges_of_days, target, f"{prefix}.csv.gz", single=True, allowed_root=ctx.export_root)
     if exports:
         lists = {"SectorCode": ag.dim_sectors(identities, "Sector"),
                  "SectorCodeServer": ag.dim_sectors(applications, "aip_app_sector"),
                  "SiteCode": ag.dim_sites(identities, ranges)}
         for name, rows in lists.items():
-            written[name] = sn.export_csv(rows, target, f"{name}.csv.gz", allowed_root=ctx.export_root)
+            written[name] = sn.export_csv(rows, target, f"{name}.csv.gz", single=True, allowed_root=ctx.export_root)
     return written
 
 
@@ -390,7 +393,7 @@ def pseudonymize_feed(feed: DataFrame, kind: str, dictionary: DataFrame, ctx: Jo
 
 def store_dictionary(spark: SparkSession, ctx: JobContext, entries: DataFrame) -> None:
     """Append new entries; names already stored are left out, so a repeated run adds nothing."""
-    sn.append_ledger(entries, ctx.path("dictionary"))
+    sn.append_ledger(entries, ctx.path("dictionary"), files=None)
 
 
 # -- back-fill -----------------------------------------------------------------------------------------------------

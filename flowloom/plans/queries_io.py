@@ -180,14 +180,14 @@ def _(t):
     rows = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).groupBy(
         F.concat(F.lit("S"), F.col("n_nationkey").cast("string")).alias("SiteCode")).agg(F.count("*").alias("n"))
     root = work_path(t.spark, "export")
-    path = sn.export_csv(rows, root, "SiteCode.csv.gz", allowed_root=root)
+    path = sn.export_csv(rows, root, "SiteCode.csv.gz", single=True, allowed_root=root)
     return rd.read_extract(t.spark, path).withColumn("n", F.col("n").cast("bigint"))
 
 
 @query("sink_single_json", "SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY ALL")
 def _(t):
     rows = t.customer.groupBy("c_mktsegment").agg(F.count("*").alias("n"))
-    path = sn.export_json(rows, work_path(t.spark, "export"), "segments.json.gz")
+    path = sn.export_json(rows, work_path(t.spark, "export"), "segments.json.gz", single=True)
     return t.spark.read.schema("c_mktsegment string, n bigint").json(path)
 
 
@@ -401,7 +401,7 @@ def _(t):
 
 @query("stream_daily", """
 SELECT CAST(ts AS DATE) AS dt, event_type, count(*) AS n, CAST(sum(CAST(floor(value) AS BIGINT)) AS BIGINT) AS total FROM events
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 DAY FROM events) GROUP BY ALL""")
+GROUP BY ALL""")
 def _(t):
     spark = t.spark
     source, target = work_path(spark, "events"), work_path(spark, "daily")
@@ -409,7 +409,7 @@ def _(t):
     rows.write.parquet(source)
     stream = spark.readStream.schema(rows.schema).parquet(source)
     totals = st.daily_totals(stream, "ts", ["event_type"], {"total": F.floor("value").cast("bigint")})
-    st.run_to_table(totals, target, work_path(spark, "checkpoint")).awaitTermination()
+    st.run_to_table(totals, target, work_path(spark, "checkpoint"), mode="complete").awaitTermination()
     return spark.read.schema("dt date, event_type string, n bigint, total bigint").parquet(target)
 
 

@@ -122,6 +122,25 @@ def _(t):
     return device.unionByName(server)
 
 
+@query("late_earlier_file", """
+SELECT r.collecttype, r.engine, r.dt, r.filedt, CAST(sum(r.con_number) AS BIGINT) AS con_number FROM d_resolved r
+JOIN (SELECT collecttype, engine, dt, min(filedt) AS filedt FROM d_resolved GROUP BY ALL) u USING (collecttype, engine, dt, filedt)
+GROUP BY ALL""")
+def _(t):
+    """A later file is aggregated before the earliest one arrives: what is stored must be the earliest file's alone."""
+    spark, ctx = t.spark, jobs.scratch(t.spark, "late", **OPTIONS)
+    resolved = t.stored("d_resolved")
+    later = resolved.withColumn("filedt", F.concat(F.lit("9"), "filedt")).withColumn("con_number", F.col("con_number") * 2)
+    for rows in (later, resolved):
+        entries = lg.ledger_entries(rows, "connection", lg.RESOLVE)
+        sn.write_units(rows, ctx.path("resolved"), lg.UNIT, list(ctx.partitions))
+        sn.append_ledger(entries, ctx.path("meta"))
+        jobs.aggregate(spark, ctx)
+    stored = union_by_name([spark.read.parquet(ctx.path(f"agg/{kind}")).select("engine", "dt", "filedt", "con_number", F.lit(kind).alias("collecttype"))
+                            for kind in ("device", "server")])
+    return stored.groupBy(*lg.UNIT, "filedt").agg(F.sum("con_number").alias("con_number"))
+
+
 SOCKET_ADDRESSES = f"""address_site AS (
   SELECT ip, string_agg(DISTINCT mdm_loc_code, '_' ORDER BY mdm_loc_code) AS site
   FROM (SELECT DISTINCT ip, {IP_NUMBER.format('ip')} AS num FROM (SELECT source_ip AS ip FROM directed UNION SELECT dest_ip FROM directed) z) a

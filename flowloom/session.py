@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -31,14 +32,14 @@ def build_session(app: str = "flowloom", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A local session without the setting gets a folder of its own; a cluster
+    A session in one process (master local) without the setting gets a folder of its own; a cluster
     session without it is an error, because a machine-local folder would be
     lost with its machine.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="flowloom-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections import defaultdict
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,8 +46,13 @@ def headers_of(spark: SparkSession, paths, first_column: str) -> dict[str, list[
 
 def read_evolving(spark: SparkSession, paths, first_column: str, separator: str = ";") -> DataFrame:
     """CSV files of several widths in one batch: one scan per distinct header, united by column name."""
-    frames = []
-    for header, files in sorted(headers_of(spark, paths, first_column).items()):
+    frames, groups = [], headers_of(spark, paths, first_column)
+    read = {unquote(f).split("://")[-1].lstrip("/").removeprefix("file:").lstrip("/") for files in groups.values() for f in files}
+    given = {f: unquote(f).split("://")[-1].lstrip("/").removeprefix("file:").lstrip("/") for f in spark.read.text(paths).inputFiles()}
+    left_out = sorted(f for f, plain in given.items() if plain not in read)
+    if left_out:
+        raise ValueError(f"files that do not start with the column {first_column}: {left_out}")
+    for header, files in sorted(groups.items()):
         columns = [c.strip('"') for c in header.split(separator)]
         frames.append(read_extract(spark, sorted(files), columns, separator))
     if not frames:

@@ -8,12 +8,13 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowloom.operators.joining import anti_join, semi_join, union_by_name
 from flowloom.session import cut_lineage, work_path
 from flowloom.sources.readers import read_or_empty
 
-SINGLE_FILE_ROWS = 1_000_000
+FILE_ROWS = 1_000_000
 
 
 def write_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
@@ -35,12 +36,16 @@ def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str
     copy, unless ``staged`` says that ``df`` is a written table already.
     """
     stored = read_or_empty(df.sparkSession, path, _ddl(df))
-    if not stored.inputFiles():
+    if not _exists(df.sparkSession, path):
         write_partitioned(df, path, partitions)
         return
     rows = df if staged else cut_lineage(df, "units")
     written = cut_lineage(rows.select(*dict.fromkeys([*partitions, *units])).distinct(), "touched")
     touched = written.select(*partitions).distinct()
+    ends = written.agg(*[f(c).alias(f"{f.__name__}_{c}") for c in partitions for f in (F.min, F.max)]).first()
+    for c in partitions:  # as literals, so that only touched partitions are read
+        if ends[f"min_{c}"] is not None:
+            stored = stored.filter(F.col(c).between(F.lit(ends[f"min_{c}"]), F.lit(ends[f"max_{c}"])) | F.col(c).isNull())
     others = anti_join(semi_join(stored, touched, partitions), written.select(*units).distinct(), units)
     write_partitioned(rows.unionByName(others.select(*rows.columns)), path, partitions)
 
@@ -60,12 +65,23 @@ def write_table(df: DataFrame, path: str, partitions: list[str] | None = None) -
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
-def append_ledger(entries: DataFrame, path: str) -> None:
-    """Add new units to the ledger, in one file; units already there are not repeated."""
+def append_ledger(entries: DataFrame, path: str, files: int | None = 1) -> None:
+    """Add new units to the ledger, in ``files`` files (None: as many as there are tasks); units already there are not repeated,
+    and nothing new writes nothing."""
     spark = entries.sparkSession
     stored = read_or_empty(spark, path, _ddl(entries))
     fresh = anti_join(entries.distinct(), stored, entries.columns)
-    fresh.coalesce(1).write.mode("append").parquet(path)
+    if not _exists(spark, path):
+        (fresh.coalesce(files) if files else fresh).write.mode("append").parquet(path)
+        return
+    fresh = cut_lineage(fresh, "fresh")
+    if not fresh.isEmpty():
+        (fresh.coalesce(files) if files else fresh).write.mode("append").parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    goal = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return goal.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(goal)
 
 
 def _publish(spark: SparkSession, folder: str, target: str) -> str:
@@ -92,17 +108,16 @@ def _check_target(folder: str, name: str, allowed_root: str | None) -> None:
 
 
 def export_csv(df: DataFrame, folder: str, name: str, gz: bool = True, separator: str = ";",
-               allowed_root: str | None = None, single_rows: int = SINGLE_FILE_ROWS) -> str:
-    """Header CSV under one name.
+               allowed_root: str | None = None, single: bool = False, file_rows: int = FILE_ROWS) -> str:
+    """Header CSV under one name: a folder of files of at most ``file_rows`` rows, each with the header.
 
-    Up to ``single_rows`` rows give one file; a larger result gives a folder of
-    that name with many files, each with the header, so no task writes it alone.
+    ``single`` asks for one file, which one task writes; it is meant for lists of a known small size.
     """
     _check_target(folder, name, allowed_root)
     spark, target = df.sparkSession, f"{folder.rstrip('/')}/{name}"
     options = {"header": True, "sep": separator, "compression": "gzip" if gz else "none"}
-    if df.limit(single_rows + 1).count() > single_rows:
-        df.write.mode("overwrite").options(maxRecordsPerFile=single_rows, **options).csv(target)
+    if not single:
+        df.write.mode("overwrite").options(maxRecordsPerFile=file_rows, **options).csv(target)
         return target
     staging = f"{folder.rstrip('/')}/.staging-{name}-{work_path(spark, 'x')[-12:]}"
     df.coalesce(1).write.mode("overwrite").options(**options).csv(staging)
@@ -110,13 +125,13 @@ def export_csv(df: DataFrame, folder: str, name: str, gz: bool = True, separator
 
 
 def export_json(df: DataFrame, folder: str, name: str, gz: bool = True, allowed_root: str | None = None,
-                single_rows: int = SINGLE_FILE_ROWS) -> str:
+                single: bool = False, file_rows: int = FILE_ROWS) -> str:
     """JSON lines under one name; as ``export_csv``."""
     _check_target(folder, name, allowed_root)
     spark, target = df.sparkSession, f"{folder.rstrip('/')}/{name}"
     compression = "gzip" if gz else "none"
-    if df.limit(single_rows + 1).count() > single_rows:
-        df.write.mode("overwrite").options(maxRecordsPerFile=single_rows, compression=compression).json(target)
+    if not single:
+        df.write.mode("overwrite").options(maxRecordsPerFile=file_rows, compression=compression).json(target)
         return target
     staging = f"{folder.rstrip('/')}/.staging-{name}-{work_path(spark, 'x')[-12:]}"
     df.coalesce(1).write.mode("overwrite").option("compression", compression).json(staging)

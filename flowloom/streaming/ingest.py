@@ -16,8 +16,8 @@ from flowloom.sources import sinks as sn
 
 
 def ingest(spark: SparkSession, source: str, schema, target: str, ledger: str, filetype: str = "connection",
-           partitions: tuple[str, ...] = ("month", "dt"), checkpoint: str | None = None, prepare=None):
-    """Store the new rows of every file that has arrived, then stop.
+           partitions: tuple[str, ...] = ("month", "dt", "engine"), *, checkpoint: str, prepare=None):
+    """Store the new rows of every file that has arrived, then stop. ``checkpoint`` is kept between calls.
 
     A micro-batch that is replayed after a failure writes the same units again,
     which changes neither the data nor the ledger.
@@ -35,7 +35,7 @@ def ingest(spark: SparkSession, source: str, schema, target: str, ledger: str, f
         sn.append_ledger(lg.ledger_entries(written, filetype, lg.ENCODE), ledger)
 
     return (incoming.writeStream.foreachBatch(store).trigger(availableNow=True)
-            .option("checkpointLocation", checkpoint or work_path(spark, "checkpoint")).start())
+            .option("checkpointLocation", checkpoint).start())
 
 
 def without_redelivery(stream: DataFrame, keys: list[str], event_time: str, delay: str = "7 days") -> DataFrame:
@@ -47,7 +47,7 @@ def without_redelivery(stream: DataFrame, keys: list[str], event_time: str, dela
 
 
 def daily_totals(stream: DataFrame, event_time: str, keys: list[str], sums: dict[str, Column], delay: str = "1 day") -> DataFrame:
-    """Totals per day and key; a day closes once the watermark has passed it."""
+    """Totals per day and key. In append mode a day is written once the watermark has passed it; in complete mode every day is."""
     window = F.window(event_time, "1 day").alias("w")
     return (stream.withWatermark(event_time, delay).groupBy(window, *keys)
             .agg(F.count("*").alias("n"), *[F.sum(c).alias(n) for n, c in sums.items()])
@@ -55,6 +55,12 @@ def daily_totals(stream: DataFrame, event_time: str, keys: list[str], sums: dict
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
-    """Write a stream to a Parquet folder until all arrived files are taken."""
+    """Write a stream to a Parquet folder until all arrived files are taken.
+
+    Mode ``complete`` replaces the folder by the whole result of each batch, so groups that are still open are in it.
+    """
+    if mode == "complete":
+        return (stream.writeStream.outputMode(mode).trigger(availableNow=True).option("checkpointLocation", checkpoint)
+                .foreachBatch(lambda batch, _: sn.write_table(batch, path)).start())
     return (stream.writeStream.format("parquet").outputMode(mode).trigger(availableNow=True)
             .option("checkpointLocation", checkpoint).start(path))

@@ -60,11 +60,11 @@ def test_bad_arguments(cube):
 
 def test_export_single_or_many(spark, rows):
     root, df = work_path(spark, "export"), spark.range(100).toDF("n")
-    one = sn.export_csv(df, root, "one.csv.gz")
-    many = sn.export_csv(df, root, "many.csv.gz", single_rows=30)
+    one = sn.export_csv(df, root, "one.csv.gz", single=True)
+    many = sn.export_csv(df, root, "many.csv.gz", file_rows=30)
     assert os.path.isfile(one) and os.path.isdir(many) and gzip.open(one, "rt").readline() == "n\n"
     assert rd.read_extract(spark, one).count() == rd.read_extract(spark, many).count() == 100
-    sn.export_csv(spark.range(3).toDF("n"), root, "one.csv.gz")
+    sn.export_csv(spark.range(3).toDF("n"), root, "one.csv.gz", single=True)
     assert rd.read_extract(spark, one).count() == 3
     for folder, name in ((root, ""), ("/elsewhere", "x"), (root + "/../up", "x")):
         with pytest.raises(ValueError):
