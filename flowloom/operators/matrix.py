@@ -76,6 +76,13 @@ def traffic_edges(flows: DataFrame) -> DataFrame:
             .agg(F.bround(F.sum(TRAFFIC).cast("double"), 0).alias(TRAFFIC)))
 
 
+def traffic_edges_by_measure(flows: DataFrame, measures: dict[str, str] | None = None) -> DataFrame:
+    """The edges of several measures from one pass: ``measure`` names each, and a pair without traffic of a measure has no edge for it."""
+    measures = measures or MEASURES
+    sums = flows.groupBy(SRC, DST).agg(*[F.bround(F.sum(F.when(F.col(c) != 0, F.col(c))).cast("double"), 0).alias(n) for n, c in measures.items()])
+    return sums.unpivot([SRC, DST], list(measures), "measure", TRAFFIC).filter(F.col(TRAFFIC).isNotNull())
+
+
 def rescale(edges: DataFrame, column: str = TRAFFIC, ceiling: float = 1_000_000) -> tuple[DataFrame, int]:
     """Divide by 1000 until every value is below ``ceiling``; also the power of ten of the unit.
 

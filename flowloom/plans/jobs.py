@@ -51,7 +51,7 @@ def encode_rows(spark: SparkSession, ctx: JobContext, filetype: str, raw: DataFr
     """Typed rows of one delivery that the ledger does not cover; whole days only for connections and executions."""
     typed = pj.project_event(raw, filetype, list(ctx.server_engines))
     fresh = lg.new_rows(typed, event_ledger(spark, ctx), filetype)
-    if filetype == "webrequest":
+    if filetype not in pj.END_TIME or filetype == "webrequest":  # an unknown type passes as it is
         return fresh
     return lg.complete_rows(fresh, hour_of(F.col(pj.END_TIME[filetype])))
 

@@ -9,7 +9,6 @@ from flowloom.operators import filters as fl
 from flowloom.operators import lookups as lk
 from flowloom.operators import matrix as mx
 from flowloom.operators.aggregates import MEASURES
-from flowloom.operators.joining import union_by_name
 from flowloom.plans.queries_tables import ADDRESS_SITES
 from flowloom.plans.jobs import site_lookup
 from flowloom.plans.registry import query
@@ -36,7 +35,7 @@ FROM d_cube WHERE con_status = 'closed' AND con_traffic <> 0 GROUP BY ALL"""
     f"""SELECT '{name}' AS measure, SiteCode_Source, SiteCode_Destination, CAST(sum({column}) AS DOUBLE) AS Traffic
 FROM d_cube WHERE con_status = 'closed' AND {column} <> 0 GROUP BY ALL""" for name, column in MEASURES.items()))
 def _(t):
-    return union_by_name([edges(t, name).withColumn("measure", F.lit(name)) for name in MEASURES])
+    return mx.traffic_edges_by_measure(t.d_cube.filter(fl.closed_only()), MEASURES)
 
 
 @query("topn_sites", f"""

@@ -113,6 +113,28 @@ def _(t):
     return pj.project_repository(t.d_users, "I-ID", "2016-05-01")
 
 
+DEPLOYMENT = {"Application Name": "p_name", "Shared Unique ID": "lpad(CAST(p_partkey AS STRING), 8, '0')", "Org unit UID": "p_brand", "Org unit Name": "upper(p_name)",
+              "Org unit Teranga code": "CAST(p_size AS STRING)", "Org unit Type": "p_type", "Expected number of users": "CAST(p_size * 10 AS STRING)"}
+SOFTWARE = {"Application": "p_name", "Unique ID": "lpad(CAST(p_partkey AS STRING), 8, '0')", "GAPM ID": "p_brand", "ADC Support": "p_type",
+            "Application Based on": "lower(p_brand)", "Main Product ?": "CASE WHEN p_size > 25 THEN 'Yes' ELSE 'No' END", "Editor": "p_brand", "Product Name": "upper(p_name)",
+            "Product Type": "lower(p_type)", "Product Version": "CAST(p_size AS STRING)", "Product Edition": "concat(p_type, ' edition')"}
+
+
+def _renamed_sql(columns: dict, names: list[str], identifier: str) -> str:
+    shown = [f"ltrim({v}, '0') AS {n}" if c == identifier else f"{v} AS {n}" for (c, v), n in zip(columns.items(), names)]
+    return f"SELECT {', '.join(shown)}, '2016-05-01' AS filedate FROM part"
+
+
+@query("project_org_deployment", _renamed_sql(DEPLOYMENT, list(pj.ORG_DEPLOY), "Shared Unique ID"))
+def _(t):
+    return pj.project_repository(t.part.selectExpr(*[f"{v} AS `{c}`" for c, v in DEPLOYMENT.items()]), "AIP-OrgDeploy", "2016-05-01")
+
+
+@query("project_software", _renamed_sql(SOFTWARE, list(pj.SOFTWARE), "Unique ID"))
+def _(t):
+    return pj.project_repository(t.part.selectExpr(*[f"{v} AS `{c}`" for c, v in SOFTWARE.items()]), "AIP-Software", "2016-05-01")
+
+
 @query("project_instances", """
 SELECT aip_appinstance_name, CASE aip_appinstance_shared_unique_id WHEN '0' THEN '' ELSE aip_appinstance_shared_unique_id END AS aip_appinstance_shared_unique_id,
   aip_appinstance_type, aip_appinstance_hostname, aip_appinstance_ip, aip_appinstance_sector, aip_appinstance_state,

@@ -88,3 +88,11 @@ def test_a_moving_matrix_is_an_error(spark):
 def test_pseudonyms_need_a_key(spark):
     with pytest.raises(ValueError):
         pv.pseudonym(F.lit("name"), None)
+
+
+def test_an_unknown_event_type_passes(spark):
+    ctx = jobs.scratch(spark, "unknown")
+    rows = unit_rows(spark, [("device", "e1", "2016-05-01", "2", 1)]).withColumn("month", F.lit("2016-05"))
+    for _ in range(2):
+        jobs.encode(spark, ctx, {"newtype": rows})
+    assert [r.n for r in spark.read.parquet(ctx.path("newtype")).collect()] == [1]
