@@ -61,22 +61,18 @@ def unpack(blob: bytes, n: int, kind=np.int64) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
 
 
-def cuts(keys: np.ndarray, buckets: int) -> np.ndarray:
-    """Where the sorted keys pass from bucket to bucket."""
-    bounds = [(i << 64) // buckets for i in range(1, buckets)]
-    return np.concatenate(([0], np.searchsorted(keys, np.array(bounds, np.uint64)), [len(keys)])).astype(np.int64)
-
-
 def questions(chunk: int, keys: np.ndarray, data: np.ndarray, buckets: int) -> pd.DataFrame:
-    """Rows for the buckets of one chunk; ``keys`` sorted, ``data`` one or more 64-bit columns beside them."""
-    at = cuts(keys, buckets)
+    """Rows for the buckets of one chunk; ``keys`` sorted, ``data`` one or more 64-bit columns beside them.
+
+    The work follows the keys, not the number of buckets: a bucket without a key costs nothing.
+    """
     columns = data.reshape(len(keys), -1) if len(keys) else data.reshape(0, 1)
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    first = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))) if len(keys) else np.zeros(0, np.int64)
     rows = []
-    for b in range(buckets):
-        lo, hi = at[b], at[b + 1]
-        if hi > lo:
-            steps = np.diff(keys[lo:hi], prepend=np.uint64(0))
-            rows.append((b, chunk, hi - lo, pack(steps), b"".join(_framed(pack(c)) for c in columns[lo:hi].T)))
+    for lo, hi in zip(first.tolist(), [*first[1:].tolist(), len(keys)]):
+        steps = np.diff(keys[lo:hi], prepend=np.uint64(0))
+        rows.append((int(bucket[lo]), chunk, hi - lo, pack(steps), b"".join(_framed(pack(c)) for c in columns[lo:hi].T)))
     return pd.DataFrame(rows, columns=["bucket", "chunk", "n", "keys", "data"])
 
 
