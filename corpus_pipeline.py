@@ -47,10 +47,18 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id; rows with a null id stay."""
+    """One document of each group of near copies: that with the smallest id, null ids last. Texts that share an id are told
+    apart, and of rows equal in id and text one stays, that with the smallest other columns."""
     workers_find_package(spark)
-    groups = simhash_groups(docs, shingle=3, radius=2)
-    return _without(docs, groups.filter(F.col("component_id") < F.col("doc_id")).select("doc_id"), "doc_id").select(*docs.columns)
+    keyed = _keyed(docs)
+    groups = simhash_groups(keyed, shingle=3, radius=2, doc_id=KEY).select(F.col("doc_id").alias(KEY), "component_id").distinct()
+    texts = keyed.groupBy(KEY).agg(F.min("doc_id").alias("id"), F.count("*").alias("n"))
+    named = cut_lineage(groups.join(texts, KEY), "groups")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("unnamed"), "id", KEY)).alias("first"))
+    gone = named.join(first.select(F.col(f"first.{KEY}").alias(KEY)), KEY, "left_anti").select(KEY)
+    again = named.filter("n > 1").select(KEY)
+    once = _without(keyed, gone, KEY).join(bounded_broadcast(again), KEY, "left_semi").groupBy(KEY, "doc_id").agg(F.min(F.struct(*docs.columns)).alias("row"))
+    return _without(keyed, gone.unionByName(again), KEY).select(*docs.columns).unionByName(once.select("row.*"))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

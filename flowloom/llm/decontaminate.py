@@ -85,6 +85,7 @@ class Index:
                 self.least.append(m - q + 1 - q * e)
         self.longest = max([len(c) + e for c, e in zip(self.codes, self.edits)], default=0)
         self.edits, self.least = np.array(self.edits, np.int64), np.array(self.least, np.int64)
+        self.gap = int(self.edits.max(initial=0)) + 1
         grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(grams, kind="stable")
         self.owner = np.concatenate(owner)[order] if len(grams) else np.zeros(0, np.int64)
@@ -171,7 +172,7 @@ def _find(index: Index):
             ids, texts = pdf["doc_id"], pdf["text"]
             first, size = 0, 0
             for i, text in enumerate(texts):
-                size += len(text or "") + 1
+                size += len(text or "") + index.gap
                 if size >= BATCH_CHARS or i + 1 == len(texts):
                     if size >= len(powers[0]):
                         powers = _powers(size + 1)
@@ -182,17 +183,21 @@ def _find(index: Index):
 
 
 def _found(index: Index, ids: pd.Series, texts: pd.Series, powers: tuple) -> pd.DataFrame:
-    raw = _codes("".join((t or "") + "\0" for t in texts))
-    ends = np.cumsum([len(t or "") + 1 for t in texts]) - 1
+    # more characters between two texts than any segment may have edits, so no match lies across them
+    raw = _codes("".join((t or "") + "\0" * index.gap for t in texts))
+    sizes = np.array([len(t or "") for t in texts], np.int64)
+    starts = np.cumsum(sizes + index.gap) - sizes - index.gap
     codes, at = normal(raw)
     segment, band = index.candidates(codes, powers)
     edits, start, end = index.aligned(codes, segment, band)
     good = edits <= index.edits[segment]
     segment, edits, start, end = segment[good], edits[good], start[good], end[good]
     start, last = at[np.clip(start, 0, len(at) - 1)], at[np.clip(end - 1, 0, len(at) - 1)]
-    owner = np.searchsorted(ends, start)
-    out = pd.DataFrame({"doc_id": ids.iloc[owner].to_numpy(), "item_id": np.array(index.items, np.int64)[segment] if len(segment) else np.zeros(0, np.int64), "segment": segment,
-                        "start": start - np.concatenate(([0], ends[:-1] + 1))[owner], "end": last + 1 - np.concatenate(([0], ends[:-1] + 1))[owner], "edits": edits, "row": owner})
+    # edits at either end may reach into the gap; the middle stands in the text
+    owner = np.searchsorted(starts, (start + last) // 2, "right") - 1
+    start, last = np.maximum(start - starts[owner], 0), np.minimum(last - starts[owner], sizes[owner] - 1)
+    out = pd.DataFrame({"doc_id": ids.iloc[owner].to_numpy(), "item_id": np.array(index.items, np.int64)[segment] if len(segment) else np.zeros(0, np.int64),
+                        "segment": segment, "start": start, "end": last + 1, "edits": edits, "row": owner})
     out = out.sort_values(["row", "segment", "edits", "start"]).drop_duplicates(["row", "segment"]).drop(columns="row")
     return out.astype({"doc_id": "Int64", "segment": "int32", "start": "int32", "end": "int32", "edits": "int32"})
 

@@ -185,6 +185,19 @@ def test_leaks(spark):
     assert leaks(frame(spark, []), bench).collect() == [] and leaks(frame(spark, rows), bench.limit(0)).collect() == []
 
 
+def test_leaks_at_the_edges_of_texts(spark):
+    """A match that lacks characters at either end belongs to the text it stands in, and none lies across two texts."""
+    rng = random.Random(16)
+    item = " ".join("".join(rng.choice("abcdefgh") for _ in range(7)) for _ in range(12))[:79] + "z"
+    other = "nothing of that kind stands in here " * 3
+    rows = [(1, other), (2, item[4:]), (3, other), (4, other + item[:40]), (5, item[40:] + other), (6, other), (7, other + item[:-4]), (8, other)]
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    got = leaks(frame(spark, rows).coalesce(1), bench).collect()
+    assert sorted(r.doc_id for r in got) == [2, 7]
+    texts = dict(rows)
+    assert all(0 <= r.start < r.end <= len(texts[r.doc_id]) and r.edits == 4 for r in got)
+
+
 def test_toxicity_on_held_out_documents(spark):
     docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     part = F.pmod(F.xxhash64("doc_id"), F.lit(4))
@@ -243,6 +256,17 @@ def test_nearest_recall_on_given_vectors(spark):
     assert np.mean(hits) >= 0.9
 
 
+def test_one_document_of_each_group(spark):
+    """Null ids come last in their group, texts of one id are apart, repeated rows stay once."""
+    a, b, c, d = (" ".join(f"{w}{i}" for i in range(30)) for w in "abcd")
+    rows = [(5, a, "en", "s", 1), (3, a, "en", "s", 1), (5, b, "en", "s", 1), (7, c, "en", "z", 1), (7, c, "en", "s", 2), (7, c, "en", "s", 1), (None, a, "en", "s", 1), (None, d, "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.simhash_stage(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    assert {tuple(r) for r in got.collect()} == {rows[1], rows[2], rows[5], rows[7]} and got.count() == 4
+    assert corpus_pipeline.simhash_stage(spark, docs.limit(0), SMALL).count() == 0
+
+
 def test_pipeline_stages(spark):
     """Each stage against a plain version of its rule on its own input."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
