@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from flowloom.functions import day_of
 from flowloom.operators.joining import anti_join, lookup_join, semi_join, union_by_name
 from flowloom.session import cut_lineage
 
@@ -96,6 +97,12 @@ def in_days_of(rows: DataFrame, units: DataFrame) -> DataFrame:
     return rows.filter(F.col("dt").isin(days) if days else F.lit(False))
 
 
+def in_snapshot_days(rows: DataFrame, units: DataFrame) -> DataFrame:
+    """Stored snapshots on the days of the socket units, which become literals like those of ``in_days_of``."""
+    days = [r["day"] for r in units.select(day_of(F.col("dt")).alias("day")).distinct().orderBy("day").collect()]
+    return rows.filter(F.col("day").isin(days) if days else F.lit(False))
+
+
 def hour_coverage(rows: DataFrame, end_hour) -> DataFrame:
     """First and last hour seen per unit and file."""
     return rows.groupBy(*UNIT, "filedt").agg(F.min(end_hour).alias("min_hour"), F.max(end_hour).alias("max_hour"))

@@ -12,7 +12,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.functions import hour_of
+from flowloom.functions import day_of, hour_of, strip_quotes
 from flowloom.operators import aggregates as ag
 from flowloom.operators import filters as fl
 from flowloom.operators import ledger as lg
@@ -23,9 +23,10 @@ from flowloom.operators import projections as pj
 from flowloom.operators import sockets as sk
 from flowloom.operators import usage as us
 from flowloom.operators.clustering import kmeans_clusters, markov_clusters
-from flowloom.operators.joining import semi_join
+from flowloom.operators.joining import lookup_join, semi_join
 from flowloom.plans.context import JobContext
 from flowloom.session import cut_lineage, work_path
+from flowloom.sources import logs
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
 
@@ -143,12 +144,16 @@ def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, la
 # -- sockets -------------------------------------------------------------------------------------------------------
 
 
+# A new snapshot leaves all other days and servers alone.
+SNAPSHOT_PARTITIONS = ["month", "day", "server_ip"]
+
+
 def encode_sockets(spark: SparkSession, ctx: JobContext, inputs: dict[str, DataFrame]) -> None:
     """Encode socket, process and netstat snapshots, given by kind."""
     ledger = socket_ledger(spark, ctx)
     for kind, raw in inputs.items():
-        rows = cut_lineage(lg.new_snapshots(pj.project_snapshot(raw), ledger, kind), f"encode-{kind}")
-        sn.write_units(rows, ctx.path(kind), ["server_ip", "dt"], ["month"], staged=True)
+        rows = cut_lineage(lg.new_snapshots(pj.project_snapshot(raw), ledger, kind).withColumn("day", day_of(F.col("dt"))), f"encode-{kind}")
+        sn.write_units(rows, ctx.path(kind), ["server_ip", "dt"], SNAPSHOT_PARTITIONS, staged=True)
         sn.append_ledger(lg.socket_entries(rows, kind, lg.ENCODE_SOCKETS), ctx.path("meta_sockets"))
 
 
@@ -163,8 +168,8 @@ def resolve_socket_rows(sockets: DataFrame, processes: DataFrame, ranges: DataFr
 def resolve_sockets(spark: SparkSession, ctx: JobContext, ranges: DataFrame, assets: DataFrame) -> None:
     units = cut_lineage(lg.pending_sockets(socket_ledger(spark, ctx)), "units")
     wanted = units.select("server_ip", "dt").distinct()
-    sockets = semi_join(spark.read.parquet(ctx.path("lsof")), wanted, ["server_ip", "dt"])
-    processes = semi_join(spark.read.parquet(ctx.path("ps")), wanted, ["server_ip", "dt"])
+    sockets, processes = (semi_join(lg.in_snapshot_days(spark.read.parquet(ctx.path(kind)), units), wanted, ["server_ip", "dt"]).drop("day")
+                          for kind in ("lsof", "ps"))
     rows = resolve_socket_rows(sockets, processes, ranges, assets, ctx.strict_ip)
     sn.write_units(rows, ctx.path("resolved_sockets"), ["engine", "snapshot"], list(ctx.partitions))
     entries = units.withColumn("stage", F.lit(lg.RESOLVE_SOCKETS)).select(*lg.SOCKET_COLUMNS)
@@ -174,8 +179,8 @@ def resolve_sockets(spark: SparkSession, ctx: JobContext, ranges: DataFrame, ass
 def aggregate_sockets(spark: SparkSession, ctx: JobContext) -> None:
     """Daily socket flows of the days that gained snapshots; the whole day is aggregated anew."""
     units = cut_lineage(lg.pending_sockets(socket_ledger(spark, ctx), lg.RESOLVE_SOCKETS, lg.AGGREGATE_SOCKETS), "units")
-    days = units.select(F.col("server_ip").alias("engine"), F.col("dt").try_cast("date").alias("dt")).distinct()
-    rows = semi_join(spark.read.parquet(ctx.path("resolved_sockets")), days, ["engine", "dt"])
+    days = units.select(F.col("server_ip").alias("engine"), day_of(F.col("dt")).alias("dt")).distinct()
+    rows = semi_join(lg.in_days_of(spark.read.parquet(ctx.path("resolved_sockets")), days), days, ["engine", "dt"])
     sn.write_units(ag.agg_socket_day(rows), ctx.path("agg/serversockets"), ["dt", "engine"], list(ctx.partitions))
     entries = units.withColumn("stage", F.lit(lg.AGGREGATE_SOCKETS)).select(*lg.SOCKET_COLUMNS)
     sn.append_ledger(entries, ctx.path("meta_sockets"))
@@ -188,14 +193,14 @@ def encode_usage(spark: SparkSession, ctx: JobContext, usage: DataFrame) -> None
     """Derived disk and system samples, partitioned by day."""
     for name, rows in (("iostat", us.derive_disk(us.pivot_metrics(usage, "iostat"))),
                        ("sysstat", us.derive_system(us.pivot_metrics(usage, "sysstat")))):
-        dated = rows.withColumn("sample_month", F.date_format("date", "yyyy-MM"))
-        sn.write_units(dated, ctx.path(name), ["server", "date"], ["sample_month"])
+        dated = rows.withColumns({"sample_month": F.date_format("date", "yyyy-MM"), "sample_day": F.to_date("date")})
+        sn.write_units(dated, ctx.path(name), ["server", "date"], ["sample_month", "sample_day"])
 
 
 def profile_usage(spark: SparkSession, ctx: JobContext, storage: DataFrame, assets: DataFrame) -> None:
     """Capacity profiles of all stored samples, one table with the three grains as partitions."""
-    disk = us.join_capacity(spark.read.parquet(ctx.path("iostat")).drop("sample_month"), storage, assets)
-    cpu = us.join_cpu(spark.read.parquet(ctx.path("sysstat")).drop("sample_month"), assets)
+    disk = us.join_capacity(spark.read.parquet(ctx.path("iostat")).drop("sample_month", "sample_day"), storage, assets)
+    cpu = us.join_cpu(spark.read.parquet(ctx.path("sysstat")).drop("sample_month", "sample_day"), assets)
     sn.write_table(us.profile_disk(disk), ctx.path("agg/iostat"), ["grain"])
     sn.write_table(us.profile_cpu(cpu), ctx.path("agg/sysstat"), ["grain"])
 
@@ -248,11 +253,11 @@ def cube_name(collecttype: str, level: str, resolution: str, date_range: str) ->
 
 
 def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFrame, applications: DataFrame,
-            ranges: DataFrame, exports: bool = True) -> dict[str, str]:
+            ranges: DataFrame, exports: bool = True, date_ranges: tuple[str, ...] | None = None) -> dict[str, str]:
     """Cubes per date range as tables, and the date ranges and dimension lists as one CSV each.
 
     The cubes stay Parquet, so the site-map query can prune and push its filters
-    down. Returns name → path.
+    down. ``date_ranges`` names the ranges that get cubes; all do when it is not given. Returns name → path.
     """
     target, written = f"{ctx.path('publish')}/data_{stamp}", {}
     units = lg.earliest_files(event_ledger(spark, ctx), lg.AGGREGATE)
@@ -261,7 +266,7 @@ def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFr
         ranges_of_days = ag.date_ranges(days, ctx.first_day)
         daily = ag.published_input(spark.read.parquet(ctx.path(f"agg/{collecttype}")))
         for row in ranges_of_days.collect():  # four rows
-            if row["firstDate"] is None:
+            if row["firstDate"] is None or (date_ranges is not None and row["date_range"] not in date_ranges):
                 continue
             rows = ag.in_valid_days(daily, days, str(row["firstDate"]))
             for resolution in RESOLUTIONS[collecttype]:
@@ -282,9 +287,49 @@ def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFr
     return written
 
 
+# -- listener logs -------------------------------------------------------------------------------------------------
+
+LISTENER_COLUMNS = ["date", "time", "host_name", "host_sid", "source_program", "source_host_name", "source_host_ip", "source_user",
+                    "host_port", "host_instance", "source_filename", "source_filedate", "integration_date", "file_first_date", "file_last_date"]
+
+
+def ingest_listener(spark: SparkSession, ctx: JobContext, paths: list[str], integration_date: str, in_pieces: bool = False) -> None:
+    """Listener logs named ``<type>_<host>_…``: parsed connections with the attributes of their file, the lines that no layout
+    fits, and the days covered by each file, host and instance.
+
+    Each of the three tables is partitioned by integration day and file, so a file that is taken again replaces itself.
+    ``in_pieces``: each path is a folder that holds the pieces of one log, in the order of their names.
+    """
+    def name_of(path):
+        return F.element_at(F.split(path, "/"), -2 if in_pieces else -1)
+
+    place = F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(paths).select("value", name_of(F.col("_metadata.file_path")).alias("source_filename"), place.alias("place"))
+    stamps = spark.read.format("binaryFile").load(paths).groupBy(name_of(F.col("path")).alias("source_filename")).agg(
+        F.max(F.col("modificationTime").cast("date")).alias("source_filedate"))
+    files = cut_lineage(stamps.join(logs.file_dates(lines, "source_filename", "place"), "source_filename", "left"), "log-files")
+    plain, keys = lines.drop("place"), ["integration_date", "source_filename"]
+    stamped = F.lit(integration_date).cast("date")
+    rows = lookup_join(logs.parse_listener(plain), files, ["source_filename"]).withColumns(
+        {"host_name": F.lower(F.get(F.split("source_filename", "_"), F.lit(1))), "integration_date": stamped})
+    rows = cut_lineage(rows.select(*LISTENER_COLUMNS), "listener")
+    sn.write_units(rows, ctx.path("listener"), keys, keys, staged=True)
+    sn.write_units(logs.quarantine(plain).withColumn("integration_date", stamped), ctx.path("listener_trash"), keys, keys)
+    sn.write_units(logs.log_coverage(rows, LISTENER_COLUMNS[10:]), ctx.path("listener_report"), keys, keys)
+
+
 # -- site map ------------------------------------------------------------------------------------------------------
 
 
+def published_cube(spark: SparkSession, folder: str, source: str = "device", resolution: str = "IDM", detailed: bool = False,
+                   date_range: str = "Full") -> DataFrame:
+    """A cube that ``publish`` wrote, under the names the site-map query reads; servers always have the detailed one."""
+    level = "detail" if detailed or source == "server" else "nodetail"
+    cube = spark.read.parquet(f"{folder}/{cube_name(source, level, resolution, date_range)}")
+    site = "source_I_ID_site" if source == "device" and resolution == "IDM" else "source_site"
+    return cube.withColumnsRenamed({site: mx.SRC, "dest_site": mx.DST}).withColumn("source_app_name", strip_quotes(F.col("source_app_name")))
+
+
 def sitemap_rows(cube: DataFrame, sites: DataFrame, categories: DataFrame, source: str = "device",
                  sectors=(), keep_null_sector: bool = True, dest_sectors=(), keep_null_dest_sector: bool = True,
                  site_in=(), site_out=(), site_operand: str = "OR", drop_in=(), drop_out=(), drop_operand: str = "AND",

@@ -288,6 +288,40 @@ def _(t):
     return logs.file_dates(named, "file", "o_orderkey")
 
 
+def ingested_logs(t):
+    """The lines dealt to the logs of three hosts and taken in twice, which changes nothing."""
+    spark, ctx = t.spark, jobs.scratch(t.spark, "listener")
+    lines = listener_lines(t).join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
+    paths = [work_path(spark, f"logs/listener_Host{i}_a") for i in range(3)]
+    for i, path in enumerate(paths):
+        lines.filter(F.col("o_custkey") % 3 == i).orderBy("o_orderkey").select("value").write.text(path)
+    for _ in range(2):
+        jobs.ingest_listener(spark, ctx, paths, "2016-05-04", in_pieces=True)
+    return ctx
+
+
+LOG_FILES_SQL = """SELECT o_custkey % 3 AS h, strftime(arg_min(o_orderdate, o_orderkey), '%d-%m-%Y') AS file_first_date,
+  strftime(arg_max(o_orderdate, o_orderkey), '%d-%m-%Y') AS file_last_date FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
+LOGGED_SQL = f"""SELECT p.* EXCLUDE (o_orderkey), concat('host', CAST(h AS VARCHAR)) AS host_name, DATE '2016-05-04' AS integration_date, file_first_date, file_last_date
+FROM ({PARSED_SQL}) p JOIN (SELECT o_orderkey, o_custkey % 3 AS h FROM orders) o USING (o_orderkey) JOIN ({LOG_FILES_SQL}) f USING (h)"""
+
+
+@query("job_listener", f"SELECT * EXCLUDE (day) FROM ({LOGGED_SQL}) x")
+def _(t):
+    return t.spark.read.parquet(ingested_logs(t).path("listener")).drop("source_filename", "source_filedate")
+
+
+@query("job_listener_report", f"""
+SELECT host_name, host_instance, min(day) AS date_min, max(day) AS date_max, 0 AS n_trash FROM ({LOGGED_SQL}) x GROUP BY ALL
+UNION ALL SELECT concat('host', CAST(o_custkey % 3 AS VARCHAR)), NULL, NULL, NULL, CAST(count(*) AS INTEGER) FROM orders JOIN customer ON o_custkey = c_custkey
+WHERE o_orderstatus <> 'F' AND o_orderpriority = '4-NOT SPECIFIED' GROUP BY ALL""")
+def _(t):
+    ctx = ingested_logs(t)
+    trash = t.spark.read.parquet(ctx.path("listener_trash")).groupBy(F.lower(F.get(F.split("source_filename", "_"), F.lit(1))).alias("host_name")).agg(F.count("*").cast("int").alias("n_trash"))
+    report = t.spark.read.parquet(ctx.path("listener_report")).select("host_name", "host_instance", "date_min", "date_max", F.lit(0).alias("n_trash"))
+    return report.unionByName(trash, allowMissingColumns=True)
+
+
 @query("parse_socket_lines", """
 SELECT 'lsof' AS tool, command, pid, "user", node, name, status, count(*) AS n FROM d_lsof GROUP BY ALL
 UNION ALL SELECT 'ps', concat('/bin/', command, ' -x 1'), pid, "user", '', '', '', count(*) FROM d_lsof GROUP BY ALL

@@ -298,6 +298,41 @@ def _(t):
     return result["edges"].withColumn("unit", F.lit(result["unit"]))
 
 
+# Variants of the published cubes: device by identity and by address, server.
+PUBLISHED = [("device", "IDM", "source_I_ID_site"), ("device", "Device", "source_site"), ("server", "IDM", "source_site")]
+
+
+def _published_map_sql() -> str:
+    parts = []
+    for kind, resolution, site in PUBLISHED:
+        first = RANGE_STARTS["6Weeks"].format(kind)
+        code = "coalesce(nullif(coalesce({0}, 'NA'), ''), 'nf')"
+        e = f"""SELECT concat({code.format(site)}, '-', coalesce(a.CountryCode, 'NA')) AS SiteCode_Source,
+  concat({code.format('dest_site')}, '-', coalesce(b.CountryCode, 'NA')) AS SiteCode_Destination, CAST(sum(con_traffic_in + con_traffic_out) AS DOUBLE) AS Traffic
+FROM {kind}_day c LEFT JOIN d_sites a ON {code.format(site)} = a.SiteCode LEFT JOIN d_sites b ON {code.format('dest_site')} = b.SiteCode
+WHERE con_status = 'closed' AND dt IN (SELECT dt FROM {kind}_days) AND dt >= {first} GROUP BY ALL HAVING sum(con_traffic_in + con_traffic_out) <> 0"""
+        parts.append(f"""SELECT '{kind} {resolution}' AS cube, * FROM (WITH e AS ({e}) SELECT SiteCode_Source, SiteCode_Destination, {_scaled('Traffic')} AS Traffic, {_unit()} AS unit FROM e) y""")
+    device, server = (qa.DAYS_SQL.format(k, n) for k, n in (("device", 4), ("server", 3)))
+    return (f"WITH device_day AS ({qa.DEVICE_DAY_SQL}), server_day AS ({qa.SERVER_DAY_SQL}), device_days AS ({device}), server_days AS ({server})\n"
+            + "\nUNION ALL\n".join(parts))
+
+
+@query("job_sitemap_published", _published_map_sql())
+def _(t):
+    spark = t.spark
+    ctx = jobs.scratch(spark, "published-map", min_device_engines=4, min_server_engines=3, first_day="1998-11-02", **OPTIONS)
+    _daily_tables(t, ctx)
+    recorded = t.stored("d_ledger").filter((F.col("stage") == lg.ENCODE) & (F.col("filetype") == "connection"))
+    sn.append_ledger(recorded.withColumn("stage", F.lit(lg.AGGREGATE)), ctx.path("meta"))
+    written = jobs.publish(spark, ctx, "20160501-000000", t.d_users, t.d_application, t.d_mdm, exports=False, date_ranges=("6Weeks",))
+    folder, maps = next(iter(written.values())).rsplit("/", 1)[0], []
+    for kind, resolution, _ in PUBLISHED:
+        cube = jobs.published_cube(spark, folder, kind, resolution, date_range="6Weeks")
+        found = jobs.sitemap(cube, t.d_sites, t.d_categories, "SumData", 100, source=kind)
+        maps.append(found["edges"].withColumns({"unit": F.lit(found["unit"]), "cube": F.lit(f"{kind} {resolution}")}))
+    return union_by_name(maps)
+
+
 GRAPH_NODES = 10
 GRAPH_SIZES = ", ".join(f"({a}, {s})" for a in range(1, 10 * GRAPH_NODES + 1) for s in mx.trim_sizes(a))
 

@@ -469,6 +469,13 @@ def _(t):
         (t.d_connection, "execution", lg.RESOLVE_EXECUTION), (t.d_resolved, "connection", lg.AGGREGATE)])
 
 
+@query("ledger_rebuild_sockets", """
+SELECT DISTINCT 'lsof' AS filetype, 'encodesockets' AS stage, server_ip, dt FROM d_lsof
+UNION ALL SELECT DISTINCT 'ps', 'resolvesockets', server_ip, dt FROM d_ps""")
+def _(t):
+    return lg.rebuild_sockets([(t.d_lsof, "lsof", lg.ENCODE_SOCKETS), (t.d_ps, "ps", lg.RESOLVE_SOCKETS)])
+
+
 # -- lookups -------------------------------------------------------------------------------------------------------
 
 IP_NUMBER = """(CAST(split_part({0}, '.', 1) AS BIGINT) * 16777216 + CAST(split_part({0}, '.', 2) AS BIGINT) * 65536
