@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm.bpe import encode_texts
 from flowloom.llm.decontaminate import leaks
-from flowloom.llm.line_dedup import line_dedup
+from flowloom.llm.line_dedup import passage_dedup
 from flowloom.llm.registry import table, workers_find_package
 from flowloom.llm.simhash import simhash_groups
 from flowloom.llm.toxicity import label_categories, score, train
@@ -40,9 +40,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without repeated chunks of lines; ``n_chars`` follows the text."""
+    """All documents, without repeated passages of lines; ``n_chars`` follows the text."""
     workers_find_package(spark)
-    out = line_dedup(docs)
+    out = passage_dedup(docs)
     return out.withColumn("n_chars", F.when(F.size("removed_chunks") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 
 

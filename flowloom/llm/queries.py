@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flowloom.llm.ann import nearest
 from flowloom.llm.bpe import encode_texts
 from flowloom.llm.decontaminate import leaks
-from flowloom.llm.line_dedup import line_dedup
+from flowloom.llm.line_dedup import passage_dedup
 from flowloom.llm.lm_scoring import lm_scores
 from flowloom.llm.pfp_dedup import repeated_bytes
 from flowloom.llm.registry import CHECKS, QUERIES, query, table
@@ -102,7 +102,7 @@ def op1(spark, folder):
 
 @query("op10_line_dedup")
 def op10(spark, folder):
-    found = line_dedup(table(spark, folder, "documents"))
+    found = passage_dedup(table(spark, folder, "documents"))
     lines = F.aggregate("removed_chunks", F.lit(0).cast("long"), lambda n, c: n + c["last"] - c["first"] + 1)
     return found.select("doc_id", F.size("removed_chunks").cast("long").alias("n_removed_chunks"), lines.alias("n_removed_lines"),
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
