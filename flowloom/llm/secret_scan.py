@@ -17,6 +17,8 @@ from flowloom.session import cut_lineage
 SECRET, IDENTIFIER, ENDPOINT = "secret", "identifier", "endpoint"
 REACH = 200
 
+# a name may follow "_" (DB_USER) but no letter or digit
+_START = "(?<![A-Za-z0-9])"
 _ASSIGNED = r"""["']?\x20*[:=]\x20*["']?"""
 
 
@@ -41,12 +43,12 @@ STRONG = (
     Kind("hex", SECRET, "[0-9a-f]{24,}", "[0-9a-f]{24}"),
 )
 WEAK = (
-    Kind("ident", IDENTIFIER, r"(?i:\b(?:access[_-]?key(?:[_-]?id)?|client[_-]?id|user(?:name)?|login|account(?:[_-]?id)?))" + _ASSIGNED + "[A-Za-z0-9@._+-]{3,}",
+    Kind("ident", IDENTIFIER, _START + r"(?i:(?:(?<!secret_)access[_-]?key(?:[_-]?id)?|client[_-]?id|user(?:name)?|login|account(?:[_-]?id)?))" + _ASSIGNED + "[A-Za-z0-9@._+-]{3,}",
          "(?i)access|client|user|login|account", weak=True),
-    Kind("key", SECRET, r"(?<![A-Za-z0-9+/=])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
-         "|(?i:\\b(?:pwd|passphrase|private[_-]?key|credential))" + _ASSIGNED + "[A-Za-z0-9+/_.=-]{6,}",
+    Kind("key", SECRET, r"(?<![A-Za-z0-9+/])(?=[a-z0-9+/]*[A-Z])(?=[A-Z0-9+/]*[a-z])(?=[A-Za-z+/]*[0-9])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])"
+         "|" + _START + "(?i:pwd|passphrase|private[_-]?key|credential)" + _ASSIGNED + "[A-Za-z0-9+/_.=-]{6,}",
          "(?i)[a-z0-9+/]{40}|pwd|passphrase|private|credential", weak=True),
-    Kind("url", ENDPOINT, r"""(?i:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|ftp|s3)://[^\s"'<>]+|(?i:\b(?:host(?:name)?|endpoint|server))"""
+    Kind("url", ENDPOINT, r"""(?i:https?|jdbc:[a-z]+|postgres(?:ql)?|mysql|mongodb|redis|amqps?|ftp|s3)://[^\s"'<>]+|""" + _START + r"""(?i:host(?:name)?|endpoint|server)"""
          + _ASSIGNED + "[A-Za-z0-9.-]{4,}", "(?i)://|host|endpoint|server", weak=True),
 )
 KINDS = STRONG + WEAK
