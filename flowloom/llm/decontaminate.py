@@ -64,83 +64,111 @@ class Index:
     """Segments of a block of items and their q-grams."""
 
     def __init__(self, items: list[tuple[int, str]], q: int, segment: int, edit_rate: float):
-        self.q, self.items, self.codes, self.edits, self.least = q, [], [], [], []
-        grams, owner, place = [], [], []
+        self.q = q
         powers = _powers(max([len(t) for _, t in items] + [1]) + 1)
+        texts, grams, place, size, edits, owner, begin, ids = [], [], [], [], [], [], [], []
+        base = 0
         for item, text in items:
             codes, _ = normal(_codes(text.strip()))
             m = min(len(codes), segment)
             if m < q:
                 continue
-            starts = sorted({*range(0, len(codes) - m + 1, max(1, segment // 2)), len(codes) - m})
-            for s in starts:
-                e = min(math.floor(edit_rate * m), (m - q) // q)
-                found = _grams(codes[s:s + m], q, powers)
-                grams.append(found)
-                owner.append(np.full(len(found), len(self.items)))
-                place.append(np.arange(len(found)))
-                self.items.append(item)
-                self.codes.append(codes[s:s + m])
-                self.edits.append(e)
-                self.least.append(m - q + 1 - q * e)
-        self.longest = max([len(c) + e for c, e in zip(self.codes, self.edits)], default=0)
-        self.edits, self.least = np.array(self.edits, np.int64), np.array(self.least, np.int64)
+            e = min(math.floor(edit_rate * m), (m - q) // q)
+            # at most as far apart as a segment may have edits, so a passage of m characters comes within them of one
+            starts = np.unique(np.append(np.arange(0, len(codes) - m + 1, max(1, e)), len(codes) - m))
+            found = _grams(codes, q, powers)
+            texts.append(codes)
+            grams.append(found)
+            place.append(base + np.arange(len(found)))
+            owner.append(np.full(len(starts), len(size)))
+            begin.append(base + starts)
+            size.append(m)
+            edits.append(e)
+            ids.append(item)
+            base += len(codes)
+        none = np.zeros(0, np.int64)
+        self.text = np.concatenate(texts) if texts else np.zeros(0, np.uint32)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        self.base = np.cumsum(lengths) - lengths
+        self.size, self.step = np.array(size, np.int64), np.maximum(np.array(edits, np.int64), 1)
+        self.need = self.size - q + 1 - q * np.array(edits, np.int64)
+        # segments in the order of their places
+        own = np.concatenate(owner) if owner else none
+        self.begin = np.concatenate(begin) if begin else none
+        self.length, self.edits = self.size[own], np.array(edits, np.int64)[own]
+        self.items = np.array(ids, np.int64)[own]
+        self.first_segment = np.searchsorted(own, np.arange(len(size) + 1))
+        self.longest = int((self.length + self.edits).max(initial=0))
         self.gap = int(self.edits.max(initial=0)) + 1
         grams = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
         order = np.argsort(grams, kind="stable")
-        self.owner = np.concatenate(owner)[order] if len(grams) else np.zeros(0, np.int64)
-        self.place = np.concatenate(place)[order] if len(grams) else np.zeros(0, np.int64)
+        self.place = np.concatenate(place)[order] if len(grams) else none
         self.grams, self.first, self.count = np.unique(grams[order], return_index=True, return_counts=True)
         self.bits = max(16, min(24, int(len(grams)).bit_length() + 4))
         self.map = np.zeros(1 << self.bits, bool)
         self.map[self.grams >> np.uint64(64 - self.bits)] = True
 
+    @property
+    def codes(self) -> list[np.ndarray]:
+        return [self.text[b:b + m] for b, m in zip(self.begin, self.length)]
+
     def candidates(self, codes: np.ndarray, powers: tuple) -> tuple[np.ndarray, np.ndarray]:
-        """(segment, band) with enough shared q-grams; a band starts at diagonal band * step and is two steps wide."""
+        """(segment, diagonal) with enough shared q-grams; a band starts at the diagonal and is two steps wide."""
+        none = np.zeros(0, np.int64)
         hashes = _grams(codes, self.q, powers)
         hits = self.map[hashes >> np.uint64(64 - self.bits)]
         if not len(self.grams) or not hits.any():
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return none, none
         # a stretch of text that can hold a segment has as many hits as the weakest bound asks for
         before = np.concatenate(([0], np.cumsum(hits)))
         ends = np.minimum(np.arange(len(hits)) + self.longest, len(hits))
-        dense = np.flatnonzero(before[ends] - before[:-1] >= self.least.min())
+        dense = np.flatnonzero(before[ends] - before[:-1] >= self.need.min())
         at = np.flatnonzero(hits & covered(dense, self.longest, len(hits)))
         place = np.minimum(np.searchsorted(self.grams, hashes[at]), len(self.grams) - 1)
         real = self.grams[place] == hashes[at]
         at, place = at[real], place[real]
+        if not len(at):
+            return none, none
         times = self.count[place]
         ends = np.cumsum(times)
-        hit = np.repeat(self.first[place] - ends + times, times) + np.arange(ends[-1] if len(ends) else 0)
-        segment, where = self.owner[hit], self.place[hit]
-        diagonal = np.repeat(at, times) - where
-        step = np.maximum(self.edits, 1)[segment]
-        band = diagonal // step
-        width = np.int64(1) << 34
-        key = np.sort(segment * width + band + (width >> 1))
-        new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
-        counts, key = np.diff(np.append(new, len(key))), key[new]
-        both = counts.copy()  # a band holds its own step and the next one
-        both[:-1] += np.where(key[1:] == key[:-1] + 1, counts[1:], 0)
-        key = key[both >= self.least[key // width]]
-        return key // width, key % width - (width >> 1)
-
-    def aligned(self, codes: np.ndarray, segment: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        hit = np.repeat(self.first[place] - ends + times, times) + np.arange(ends[-1])
+        where = self.place[hit]  # in the text of all items
+        item = np.searchsorted(self.base, where, "right") - 1
+        band = (np.repeat(at, times) - (where - self.base[item])) // self.step[item]
+        # a band holds its own step and the next one, so each hit stands in two
+        item, where, band = np.tile(item, 2), np.tile(where, 2), np.concatenate((band, band - 1))
+        order = np.lexsort((where, band, item))
+        item, where, band = item[order], where[order], band[order]
+        # as many hits as needed, from one on, no further apart than a segment's first and last q-gram
+        last = np.arange(len(where)) + self.need[item] - 1
+        inside = np.minimum(last, len(where) - 1)
+        room = self.size[item] - self.q
+        good = np.flatnonzero((last < len(where)) & (item[inside] == item) & (band[inside] == band) & (where[inside] - where <= room))
+        # segments that begin at the first of them or before and reach the last
+        low = np.maximum(np.searchsorted(self.begin, where[inside][good] - room[good]), self.first_segment[item[good]])
+        high = np.minimum(np.searchsorted(self.begin, where[good], "right"), self.first_segment[item[good] + 1])
+        n = np.maximum(high - low, 0)
+        segment = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        item, band = np.repeat(item[good], n), np.repeat(band[good], n)
+        found = np.unique(np.stack((segment, band * self.step[item] + self.begin[segment] - self.base[item])), axis=1) if len(segment) else np.zeros((2, 0), np.int64)
+        return found[0], found[1]
+
+    def aligned(self, codes: np.ndarray, segment: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(edits, start, end) of the best alignment of each segment whose path stays in its band, widened by the edits."""
         n = len(segment)
         edits, start, end = np.full(n, 1 << 20), np.zeros(n, np.int64), np.zeros(n, np.int64)
-        sizes = np.array([len(self.codes[s]) for s in segment])
+        sizes = self.length[segment]
         for m in np.unique(sizes):
             for e in np.unique(self.edits[segment[sizes == m]]):
                 mine = np.flatnonzero((sizes == m) & (self.edits[segment] == e))
                 for part in np.array_split(mine, max(1, len(mine) // 4096)):
-                    edits[part], start[part], end[part] = self._align(codes, segment[part], band[part] * max(e, 1), int(m), int(e))
+                    edits[part], start[part], end[part] = self._align(codes, segment[part], diagonal[part], int(m), int(e))
         return edits, start, end
 
     def _align(self, codes: np.ndarray, segment: np.ndarray, first: np.ndarray, m: int, e: int):
         width = 2 * max(e, 1) + 2 * e + 1
         left = first - e
-        wanted = np.stack([self.codes[s] for s in segment])
+        wanted = self.text[self.begin[segment][:, None] + np.arange(m)[None, :]]
         # cost[k]: row i of the segment against text place left + i + k; a path may begin anywhere in the band
         cost = np.zeros((len(segment), width), np.int64)
         origin = left[:, None] + np.arange(width)[None, :]
@@ -188,15 +216,15 @@ def _found(index: Index, ids: pd.Series, texts: pd.Series, powers: tuple) -> pd.
     sizes = np.array([len(t or "") for t in texts], np.int64)
     starts = np.cumsum(sizes + index.gap) - sizes - index.gap
     codes, at = normal(raw)
-    segment, band = index.candidates(codes, powers)
-    edits, start, end = index.aligned(codes, segment, band)
+    segment, diagonal = index.candidates(codes, powers)
+    edits, start, end = index.aligned(codes, segment, diagonal)
     good = edits <= index.edits[segment]
     segment, edits, start, end = segment[good], edits[good], start[good], end[good]
     start, last = at[np.clip(start, 0, len(at) - 1)], at[np.clip(end - 1, 0, len(at) - 1)]
     # edits at either end may reach into the gap; the middle stands in the text
     owner = np.searchsorted(starts, (start + last) // 2, "right") - 1
     start, last = np.maximum(start - starts[owner], 0), np.minimum(last - starts[owner], sizes[owner] - 1)
-    out = pd.DataFrame({"doc_id": ids.iloc[owner].to_numpy(), "item_id": np.array(index.items, np.int64)[segment] if len(segment) else np.zeros(0, np.int64),
+    out = pd.DataFrame({"doc_id": ids.iloc[owner].to_numpy(), "item_id": index.items[segment],
                         "segment": segment, "start": start, "end": last + 1, "edits": edits, "row": owner})
     out = out.sort_values(["row", "segment", "edits", "start"]).drop_duplicates(["row", "segment"]).drop(columns="row")
     return out.astype({"doc_id": "Int64", "segment": "int32", "start": "int32", "end": "int32", "edits": "int32"})
@@ -207,7 +235,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, segment: int = SEGM
     """(doc_id, item_id, segment, start, end, edits): segments of benchmark items found in documents, the best place of each.
 
     Places are code points of the document's own text. Letters A-Z and runs of white space count as equal to their lower case and to
-    one space. Items shorter than a segment are searched whole, items of fewer than ``q`` characters and null ones not at
+    one space. Segments begin at most as many characters apart as they may have edits, so an exact part of an item as long as a segment is
+    found wherever it begins. Items shorter than a segment are searched whole, items of fewer than ``q`` characters and null ones not at
     all. Null and empty documents hold nothing. A null id stays null. The benchmark is passed to the tasks in blocks of at most ``block_bytes``
     bytes, each in its own pass, so nothing unbounded is broadcast. Other columns are ignored.
     """
