@@ -120,6 +120,11 @@ def linked(spans: DataFrame, reach: int = REACH) -> DataFrame:
     return out
 
 
+def _of_kind(number: int):
+    """A test of one argument: Spark gives a second one the position of the element."""
+    return lambda span: span["kind"] == number
+
+
 def _written(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.element_at(F.array(*[F.lit(k.name) for k in KINDS]), s["kind"] + 1), s["start"], s["end"])), ",")
 
@@ -138,7 +143,7 @@ def secret_scan(docs: DataFrame, reach: int = REACH, doc_id: str = "doc_id", tex
     per_row = reported.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     empty = F.array().cast("array<struct<start:bigint,kind:int,end:bigint>>")
     out = rows.select("row", "doc_id").join(per_row, "row", "left").withColumn("spans", F.coalesce("spans", empty))
-    counts = [F.size(F.filter("spans", lambda s, n=n: s["kind"] == n)).cast("long").alias(f"n_{k.name}") for n, k in enumerate(STRONG)]
+    counts = [F.size(F.filter("spans", _of_kind(n))).cast("long").alias(f"n_{k.name}") for n, k in enumerate(STRONG)]
     return out.select("doc_id", *counts, F.size(F.filter("spans", lambda s: s["kind"] >= len(STRONG))).cast("long").alias("n_linked"), "spans")
 
 

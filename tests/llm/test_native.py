@@ -123,3 +123,14 @@ def test_empty_and_null_tables(spark):
     for rows in ([], [(None, None), (1, None)]):
         assert len(secret_scan(frame(spark, rows)).collect()) == len(rows)
         assert len(line_dedup(frame(spark, rows)).collect()) == len(rows)
+
+
+def test_secret_counts(spark):
+    """Each kind's count is its own, with several spans of each in one text."""
+    strong = ['token = "abcdef12"', "secret=token:abcdef", "AKIA" + "Q" * 16, "AKIA" + "Z" * 30, "0123456789abcdef" * 2, "deadbeef" * 4]
+    rng = random.Random(11)
+    rows = [(i, " ".join(rng.choice(strong) for _ in range(rng.randint(0, 12)))) for i in range(80)] + secret_rows()
+    got = secret_scan(frame(spark, rows)).collect()
+    want = [(i, *[sum(s[1] == kind for s in plain_spans(t)) for kind in range(3)]) for i, t in rows]
+    assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex) for r in got), key=repr) == sorted(want, key=repr)
+    assert len({w[1:] for w in want}) > 20
