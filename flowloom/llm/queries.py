@@ -10,6 +10,7 @@ from flowloom.llm.bpe import encode_texts
 from flowloom.llm.decontaminate import leaks
 from flowloom.llm.line_dedup import passage_dedup
 from flowloom.llm.lm_scoring import lm_scores
+from flowloom.llm.minhash import near_duplicates
 from flowloom.llm.pfp_dedup import repeated_bytes
 from flowloom.llm.registry import CHECKS, QUERIES, query, table
 from flowloom.llm.secret_scan import digest, secret_scan
@@ -106,3 +107,9 @@ def op10(spark, folder):
     lines = F.aggregate("removed_chunks", F.lit(0).cast("long"), lambda n, c: n + c["last"] - c["first"] + 1)
     return found.select("doc_id", F.size("removed_chunks").cast("long").alias("n_removed_chunks"), lines.alias("n_removed_lines"),
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op13_minhash")
+def op13(spark, folder):
+    found = near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
