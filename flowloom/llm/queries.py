@@ -15,8 +15,10 @@ from flowloom.llm.pfp_dedup import repeated_bytes
 from flowloom.llm.registry import CHECKS, QUERIES, query, table
 from flowloom.llm.secret_scan import digest, secret_scan
 from flowloom.llm.simhash import simhash_groups
+from flowloom.llm.spelling import corpus_words, spelling_variants
 from flowloom.llm.substring_dedup import substring_dedup
 from flowloom.llm.toxicity import label_categories, toxicity
+from flowloom.llm.whitening import whiten
 
 __all__ = ["CHECKS", "QUERIES"]
 
@@ -109,6 +111,19 @@ def op10(spark, folder):
                         F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op11_whitening")
+def op11(spark, folder):
+    found = whiten(table(spark, folder, "embeddings"), components=4, scale=256.0)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "value")
+    return found.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "value.whitened", "value.explained", "identity_error")
+
+
+@query("op12_spelling")
+def op12(spark, folder):
+    return spelling_variants(corpus_words(table(spark, folder, "documents")), ratio=10)
+
+
 @query("op13_minhash")
 def op13(spark, folder):
     found = near_duplicates(table(spark, folder, "documents"))
