@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -96,7 +96,8 @@ class Index:
         own = np.concatenate(owner) if owner else none
         self.begin = np.concatenate(begin) if begin else none
         self.length, self.edits = self.size[own], np.array(edits, np.int64)[own]
-        self.items = np.array(ids, np.int64)[own]
+        self.items = pa.array(ids, pa.int64()).take(pa.array(own, pa.int64()))
+        self.offset = self.begin - self.base[own]  # place of a segment in its item
         self.first_segment = np.searchsorted(own, np.arange(len(size) + 1))
         self.longest = int((self.length + self.edits).max(initial=0))
         self.gap = int(self.edits.max(initial=0)) + 1
@@ -194,26 +195,26 @@ class Index:
 
 
 def _find(index: Index):
-    def run(frames):
+    def run(batches):
         powers = _powers(BATCH_CHARS + 1)
-        for pdf in frames:
-            ids, texts = pdf["doc_id"], pdf["text"]
-            first, size = 0, 0
-            for i, text in enumerate(texts):
-                size += len(text or "") + index.gap
-                if size >= BATCH_CHARS or i + 1 == len(texts):
+        for batch in batches:
+            texts, first, size = [], 0, 0
+            for i, text in enumerate(batch.column(1)):
+                texts.append(text.as_py() or "")
+                size += len(texts[-1]) + index.gap
+                if size >= BATCH_CHARS or i + 1 == batch.num_rows:
                     if size >= len(powers[0]):
                         powers = _powers(size + 1)
-                    yield _found(index, ids.iloc[first:i + 1], texts.iloc[first:i + 1], powers)
-                    first, size = i + 1, 0
+                    yield _found(index, batch.column(0).slice(first, len(texts)), texts, powers)
+                    texts, first, size = [], i + 1, 0
 
     return run
 
 
-def _found(index: Index, ids: pd.Series, texts: pd.Series, powers: tuple) -> pd.DataFrame:
+def _found(index: Index, ids: pa.Array, texts: list[str], powers: tuple) -> pa.RecordBatch:
     # more characters between two texts than any segment may have edits, so no match lies across them
-    raw = _codes("".join((t or "") + "\0" * index.gap for t in texts))
-    sizes = np.array([len(t or "") for t in texts], np.int64)
+    raw = _codes("".join(t + "\0" * index.gap for t in texts))
+    sizes = np.array([len(t) for t in texts], np.int64)
     starts = np.cumsum(sizes + index.gap) - sizes - index.gap
     codes, at = normal(raw)
     segment, diagonal = index.candidates(codes, powers)
@@ -224,31 +225,36 @@ def _found(index: Index, ids: pd.Series, texts: pd.Series, powers: tuple) -> pd.
     # edits at either end may reach into the gap; the middle stands in the text
     owner = np.searchsorted(starts, (start + last) // 2, "right") - 1
     start, last = np.maximum(start - starts[owner], 0), np.minimum(last - starts[owner], sizes[owner] - 1)
-    out = pd.DataFrame({"doc_id": ids.iloc[owner].to_numpy(), "item_id": index.items[segment],
-                        "segment": segment, "start": start, "end": last + 1, "edits": edits, "row": owner})
-    out = out.sort_values(["row", "segment", "edits", "start"]).drop_duplicates(["row", "segment"]).drop(columns="row")
-    return out.astype({"doc_id": "Int64", "segment": "int32", "start": "int32", "end": "int32", "edits": "int32"})
+    # the best place of each segment in each text
+    order = np.lexsort((start, edits, segment, owner))
+    new = np.ones(len(order), bool)
+    new[1:] = (owner[order][1:] != owner[order][:-1]) | (segment[order][1:] != segment[order][:-1])
+    best = order[new]
+    numbers = [index.offset[segment[best]], start[best], last[best] + 1, edits[best]]
+    return pa.RecordBatch.from_arrays([ids.take(pa.array(owner[best], pa.int64())), index.items.take(pa.array(segment[best], pa.int64())), *[pa.array(x.astype(np.int32)) for x in numbers]],
+                                      names=["doc_id", "item_id", "segment", "start", "end", "edits"])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, segment: int = SEGMENT, edit_rate: float = EDIT_RATE, doc_id: str = "doc_id",
           text: str = "text", item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, item_id, segment, start, end, edits): segments of benchmark items found in documents, the best place of each.
 
-    Places are code points of the document's own text. Letters A-Z and runs of white space count as equal to their lower case and to
+    A segment is named by its place in the item (letters lower-cased, white space joined), so its name does not depend on the other items. Places
+    are code points of the document's own text. Letters A-Z and runs of white space count as equal to their lower case and to
     one space. Segments begin at most as many characters apart as they may have edits, so an exact part of an item as long as a segment is
     found wherever it begins. Items shorter than a segment are searched whole, items of fewer than ``q`` characters and null ones not at
-    all. Null and empty documents hold nothing. A null id stays null. The benchmark is passed to the tasks in blocks of at most ``block_bytes``
+    all. Null and empty documents hold nothing. A null id, of a document or of an item, stays null; equal items count once. The benchmark is passed to the tasks in blocks of at most ``block_bytes``
     bytes, each in its own pass, so nothing unbounded is broadcast. Other columns are ignored.
     """
     if segment < q:
         raise ValueError("a segment has q characters or more")
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).dropna()
+    items = benchmark.select(F.col(item_id).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).dropna(subset=["text"]).distinct()
     total = items.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, math.ceil(2 * total / block_bytes)) if total > block_bytes else 1
     found = None
     for block in range(blocks):
         mine = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        part = plain.mapInPandas(_find(Index([(r.item_id, r.text) for r in mine], q, segment, edit_rate)), RESULT)
+        part = plain.mapInArrow(_find(Index([(r.item_id, r.text) for r in mine], q, segment, edit_rate)), RESULT)
         found = part if found is None else found.unionByName(part)
     return found

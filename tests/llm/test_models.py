@@ -170,18 +170,22 @@ def test_leaks(spark):
     want = set()
     for n, (i, t) in enumerate(rows):
         text = normal(_codes(t or ""))[0].tolist()
-        for s, (item, codes, e) in enumerate(zip(index.items, index.codes, index.edits)):
+        for s, item, codes, e in zip(index.offset, index.items.to_pylist(), index.codes, index.edits):
             if least_edits(codes.tolist(), text) <= e:
                 want.add((i, item, s))
+    codes_of = {(item, s): codes for s, item, codes in zip(index.offset, index.items.to_pylist(), index.codes)}
     assert {(r.doc_id, r.item_id, r.segment) for r in got} == want
     assert len({r.item_id for r in got}) > 8 and any(r.edits for r in got)
     texts = dict(rows)
     for r in got:
         if r.doc_id is not None and not r.edits:
             found = normal(_codes(texts[r.doc_id][r.start:r.end]))[0]
-            assert found.tolist() == index.codes[r.segment].tolist()
-    blocks = leaks(frame(spark, rows), bench, block_bytes=500).select("doc_id", "item_id").distinct().collect()
-    assert {tuple(x) for x in blocks} == {x[:2] for x in want}
+            assert found.tolist() == codes_of[r.item_id, r.segment].tolist()
+    blocks = leaks(frame(spark, rows), bench, block_bytes=500).collect()
+    assert sorted(blocks, key=repr) == sorted(got, key=repr)
+    nameless = leaks(frame(spark, rows), spark.createDataFrame([(None, items[0][1]), (None, items[0][1]), (3, items[3][1])], "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.segment) for r in nameless} == {(d, None if i == 0 else i, s) for d, i, s in want if i in (0, 3)}
+    assert len(nameless) == len({(r.doc_id, r.item_id, r.segment) for r in nameless}) + sum(r.doc_id == 102 for r in nameless) // 2
     assert leaks(frame(spark, []), bench).collect() == [] and leaks(frame(spark, rows), bench.limit(0)).collect() == []
 
 
@@ -283,8 +287,8 @@ def test_pipeline_stages(spark):
             p = tox.toxicity(docs, spark.read.parquet(f"{SMALL}/labels.parquet"), tox.label_categories()).toPandas()
             assert ids == set(p[p.p_toxic < 0.5].doc_id.dropna())
         elif name == "line dedup":
-            from test_native import plain_dedup
-            want = sorted(((i, t) for i, t, _ in plain_dedup([(None if i != i else int(i), t) for i, t in zip(before.doc_id, before.text)])), key=repr)
+            from test_passages import plain_passages
+            want = sorted(((i, t) for i, t, _ in plain_passages([(None if i != i else int(i), t) for i, t in zip(before.doc_id, before.text)])), key=repr)
             assert sorted(((None if i != i else int(i), t) for i, t in zip(after.doc_id, after.text)), key=repr) == want
         elif name == "simhash near-dedup":
             known = before[before.doc_id.notna()]
