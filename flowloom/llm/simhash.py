@@ -11,7 +11,7 @@ from __future__ import annotations
 from itertools import accumulate, combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,15 +47,15 @@ def _majority(hashes: list[int], counts: list[int]) -> np.ndarray:
 
 
 def _fingerprint(size: int, seed: int):
-    def run(frames):
-        for pdf in frames:
-            ids, hashes, counts, first = pdf["doc_id"], [], [], 0
-            for i, text in enumerate(pdf["text"]):
-                mine = _shingle_hashes(b"" if text is None else bytes(text), size, seed)
+    def run(batches):
+        for batch in batches:
+            ids, hashes, counts, first = batch.column(0), [], [], 0
+            for i, text in enumerate(batch.column(1)):
+                mine = _shingle_hashes(text.as_py() or b"", size, seed)
                 hashes += mine
                 counts.append(len(mine))
-                if len(hashes) >= HASHES_AT_ONCE or i + 1 == len(pdf):
-                    yield pd.DataFrame({"doc_id": ids.iloc[first:i + 1].astype("Int64"), "fp": _majority(hashes, counts).view(np.int64)})
+                if len(hashes) >= HASHES_AT_ONCE or i + 1 == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays([ids.slice(first, i + 1 - first), pa.array(_majority(hashes, counts).view(np.int64))], names=["doc_id", "fp"])
                     hashes, counts, first = [], [], i + 1
 
     return run
@@ -67,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, seed: int = 42, doc_id: str
     Fewer words than a shingle: the whole sequence. No word or a null text: 0.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInPandas(_fingerprint(shingle, seed), "doc_id long, fp long")
+    return rows.mapInArrow(_fingerprint(shingle, seed), "doc_id long, fp long")
 
 
 def _keys(radius: int) -> F.Column:
@@ -91,10 +91,10 @@ def components_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _tree(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+def _tree(fp: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     root = components_of(len(fp), a, b)
     mine = np.flatnonzero(root != np.arange(len(fp)))
-    return pd.DataFrame({"a": fp[mine], "b": fp[root[mine]]})
+    return pa.RecordBatch.from_arrays([pa.array(fp[mine]), pa.array(fp[root[mine]])], names=["a", "b"])
 
 
 def _pairs_of_runs(fp: np.ndarray, end: np.ndarray, radius: int):
@@ -115,25 +115,24 @@ def _pairs_of_runs(fp: np.ndarray, end: np.ndarray, radius: int):
 def _compare_sorted(radius: int):
     """Partitions sorted by key: links inside each key. A run that goes on in the next batch is kept for it."""
 
-    def run(frames):
-        rest = None
-        for pdf in frames:
-            if rest is not None:
-                pdf = pd.concat([rest, pdf], ignore_index=True)
-            last = (pdf[["pair", "a", "b"]] == pdf[["pair", "a", "b"]].iloc[-1]).all(axis=1).to_numpy()
-            rest = pdf[last]
-            yield _links(pdf[~last], radius)
-        if rest is not None:
-            yield _links(rest, radius)
+    def run(batches):
+        rest = np.zeros((0, 4), np.int64)
+        for batch in batches:
+            rows = np.concatenate((rest, np.column_stack([batch.column(i).to_numpy() for i in range(4)])))
+            if len(rows):
+                last = (rows[:, 1:] == rows[-1, 1:]).all(axis=1)
+                rest = rows[last]
+                yield _links(rows[~last], radius)
+        yield _links(rest, radius)
 
     return run
 
 
-def _links(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
-    fp = pdf["fp"].to_numpy(np.int64)
+def _links(rows: np.ndarray, radius: int) -> pa.RecordBatch:
+    """``rows``: fingerprint and the three parts of the key, sorted by key."""
+    fp, key = np.ascontiguousarray(rows[:, 0]), rows[:, 1:]
     if len(fp) < 2:
-        return pd.DataFrame({"a": fp[:0], "b": fp[:0]})
-    key = pdf[["pair", "a", "b"]].to_numpy(np.int64)
+        return _tree(fp[:0], np.zeros(0, np.int64), np.zeros(0, np.int64))
     edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(axis=1), [True])))
     return _tree(fp, *_pairs_of_runs(fp, np.repeat(edge[1:], np.diff(edge)), radius))
 
@@ -141,14 +140,14 @@ def _links(pdf: pd.DataFrame, radius: int) -> pd.DataFrame:
 def _compare_tiles(radius: int):
     """One pair of tiles: all members against all."""
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        fp = pdf["fp"].to_numpy(np.int64)
+    def run(table: pa.Table) -> pa.Table:
+        fp = table.column("fp").to_numpy()
         bits, left, right = fp.view(np.uint64), [], []
         for i in range(0, len(fp), 256):
             a, b = np.nonzero(np.bitwise_count(bits[i:i + 256, None] ^ bits[None, i:]) <= radius)
             left.append(a + i)
             right.append(b + i)
-        return _tree(fp, np.concatenate(left), np.concatenate(right))
+        return pa.Table.from_batches([_tree(fp, np.concatenate(left), np.concatenate(right))])
 
     return run
 
@@ -159,8 +158,8 @@ def links(distinct: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
     key = ["pair", "a", "b"]
     sizes = keyed.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
     sized = keyed.join(sizes, key)
-    small = sized.filter(F.col("n") <= tile).select("fp", *key)
-    near = small.repartition(*key).sortWithinPartitions(*key).mapInPandas(_compare_sorted(radius), "a long, b long")
+    small = sized.filter(F.col("n") <= tile).select("fp", *[F.col(k).cast("long") for k in key])
+    near = small.repartition(*key).sortWithinPartitions(*key).mapInArrow(_compare_sorted(radius), "a long, b long")
     ones = F.bit_count("fp")
     large = sized.filter(F.col("n") > tile).withColumn("ones", ones)
     counts = large.groupBy(*key, "ones").agg(F.ceil(F.count("*") / tile).alias("tiles"))
@@ -169,7 +168,7 @@ def links(distinct: DataFrame, radius: int = 2, tile: int = TILE) -> DataFrame:
     met = mine.join(other, key).filter(F.abs(F.col("ones") - F.col("ones2")) <= radius)
     one, two = F.struct("ones", "tile"), F.struct(F.col("ones2").alias("ones"), F.col("tile2").alias("tile"))
     tiles = met.select("fp", *key, F.least(one, two).alias("low"), F.greatest(one, two).alias("high"))
-    far = tiles.groupBy(*key, "low", "high").applyInPandas(_compare_tiles(radius), "a long, b long")
+    far = tiles.groupBy(*key, "low", "high").applyInArrow(_compare_tiles(radius), "a long, b long")
     return near.unionByName(far).filter("a <> b").distinct()
 
 

@@ -10,7 +10,7 @@ The models are fitted on a bounded sample of labelled rows (``SAMPLE``), chosen
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,13 +48,13 @@ def _features(texts):
         yield len(parts), who[new], words[new], style
 
 
-def _sample_rows(frames):
-    for pdf in frames:
+def _sample_rows(batches):
+    for batch in batches:
         at = 0
-        for n, who, words, style in _features(pdf["text"]):
+        for n, who, words, style in _features(x.as_py() for x in batch.column(1)):
             cut = np.searchsorted(who, np.arange(n + 1))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[at:at + n].to_numpy(), "words": [words[a:b].tobytes() for a, b in zip(cut, cut[1:])],
-                                "style": [x.tobytes() for x in style]})
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), pa.array([words[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()),
+                                              pa.array([x.tobytes() for x in style], pa.binary())], names=["doc_id", "words", "style"])
             at += n
 
 
@@ -138,14 +138,16 @@ def fit_chain(who: np.ndarray, words: np.ndarray, style: np.ndarray, labels: lis
 
 
 def train(docs: DataFrame, labels: DataFrame, categories: list, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text") -> list[Linear]:
-    """Fit the chain. ``categories``: (name, column of 0/1 over ``labels``) in order. Rows with a null label or id are left out; of several labels of one id the largest counts."""
+    """Fit the chain. ``categories``: (name, column of 0/1 over ``labels``) in order. Rows with a null label or id are left out; of several labels of one id the largest counts, of several texts that with the least hash."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), *[c.cast("double").alias(f"y{i}") for i, (_, c) in enumerate(categories)])
     known = known.dropna().groupBy("doc_id").agg(*[F.max(f"y{i}").alias(f"y{i}") for i in range(len(categories))])
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     labelled = known.join(plain.select("doc_id").distinct(), "doc_id", "left_semi")
     chosen = labelled.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # bounded, so it may be broadcast
-    found = plain.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = found.mapInPandas(_sample_rows, "doc_id long, words binary, style binary").join(F.broadcast(chosen), "doc_id").toPandas()
+    # of several texts of one id the one with the least hash, so a repeated task fits the same chain
+    found = plain.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi").groupBy("doc_id").agg(
+        F.min(F.struct(F.xxhash64("text").alias("mark"), "text")).alias("first")).select("doc_id", "first.text")
+    rows = found.mapInArrow(_sample_rows, "doc_id long, words binary, style binary").join(F.broadcast(chosen), "doc_id").toPandas()
     rows = rows.sort_values("doc_id", ignore_index=True)
     if not len(rows):
         return []
@@ -158,20 +160,19 @@ def train(docs: DataFrame, labels: DataFrame, categories: list, sample: int = SA
 def _score(chain: list[Linear]):
     words_used = np.unique(np.concatenate([m.words for m in chain])) if chain else np.zeros(0, np.uint64)
 
-    def run(frames):
-        for pdf in frames:
-            found = [np.zeros((0, len(chain)))]
-            for n, who, words, dense in _features(pdf["text"]):
-                at = np.searchsorted(words_used, words)
-                hit = words_used[np.minimum(at, len(words_used) - 1)] == words if len(words_used) else np.zeros(len(words), bool)
+    def run(batches):
+        for batch in batches:
+            at = 0
+            for n, who, words, dense in _features(x.as_py() for x in batch.column(1)):
+                place = np.searchsorted(words_used, words)
+                hit = words_used[np.minimum(place, len(words_used) - 1)] == words if len(words_used) else np.zeros(len(words), bool)
                 who, words = who[hit], words[hit]
-                out = []
+                columns = []
                 for model in chain:
-                    out.append(model.probability(_table(n, who, words, model.words), dense))
-                    dense = np.column_stack((dense, out[-1]))
-                found.append(np.column_stack(out) if out else np.zeros((n, 0)))
-            table = np.concatenate(found)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), **{f"p{i}": table[:, i] for i in range(len(chain))}})
+                    columns.append(model.probability(_table(n, who, words, model.words), dense))
+                    dense = np.column_stack((dense, columns[-1]))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, n), *map(pa.array, columns)], names=["doc_id", *[f"p{i}" for i in range(len(chain))]])
+                at += n
 
     return run
 
@@ -190,7 +191,7 @@ def score(docs: DataFrame, chain: list[Linear], names: list[str], doc_id: str =
     plain = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text"))
     if not chain:
         return plain.select("doc_id", *[F.lit(0.0).alias(name) for name in names])
-    scored = plain.mapInPandas(_score(chain), "doc_id long, " + ", ".join(f"p{i} double" for i in range(len(chain))))
+    scored = plain.mapInArrow(_score(chain), "doc_id long, " + ", ".join(f"p{i} double" for i in range(len(chain))))
     return scored.select("doc_id", *[F.col(f"p{i}").alias(name) for i, name in enumerate(names)])
 
 
