@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions import list_items
+from flowloom.operators import usersets as us
 from flowloom.operators.filters import closed_only
 from flowloom.operators.joining import semi_join
 
@@ -99,6 +100,20 @@ def agg_device_day(resolved: DataFrame, ignore_unknown_duration: bool = False) -
                        "I_ID_U", "distinct_I_ID_U")
 
 
+def device_day_sets(resolved: DataFrame, dictionary: DataFrame, ignore_unknown_duration: bool = False) -> DataFrame:
+    """Daily device flows with the set of their users as a bitmap (``users``) and its size; what the jobs store."""
+    duration = F.nullif(F.col("con_duration"), F.lit(-1)) if ignore_unknown_duration else F.col("con_duration")
+    sums = {
+        "con_number": F.col("con_number"), "con_traffic_in": F.col("con_traffic_in"),
+        "con_traffic_out": F.col("con_traffic_out"), "_dur": duration,
+        "_durs": F.when(duration.isNotNull(), F.lit(1).cast("bigint")),
+    }
+    rows = us.numbered(resolved, "I_ID_U", dictionary).withColumn("_user", us.single(F.col("_number")))
+    found = us.gather(rows, DEVICE_DAY_KEYS, "_user", sums, "users", "distinct_I_ID_U")
+    return found.select(*DEVICE_DAY_KEYS, "con_number", "con_traffic_in", "con_traffic_out",
+                        F.try_divide(F.col("_dur").cast("double"), F.col("_durs")).alias("con_duration"), "users", "distinct_I_ID_U")
+
+
 def agg_socket_day(resolved: DataFrame) -> DataFrame:
     """Daily socket flows; the traffic of sockets is unknown and stays NULL."""
     return agg_server_day(resolved.filter(F.col("collecttype") == "linux"))
@@ -130,9 +145,8 @@ FLOW_ROW = ["collecttype", "remote_type", "dt", "month", "server_ip", "server_si
             "remote_sector", "remote_site", "remote_ip", "remote_app_exec", "remote_aip_app_name", "server_port", "con_protocol"]
 
 
-def _roles(daily: DataFrame, collecttype: str, roles: list[Column], users: bool) -> DataFrame:
+def _roles(daily: DataFrame, collecttype: str, roles: list[Column], keep: list[str] = []) -> DataFrame:
     """Closed flows, once per role of their server: one scan serves all roles."""
-    keep = ["I_ID_U"] if users else []
     seen = daily.filter(closed_only()).select(
         F.lit(collecttype).alias("collecttype"), "dt", "month", F.explode(F.array(*roles)).alias("r"),
         F.col("dest_port").alias("server_port"), "con_protocol", "con_number",
@@ -141,38 +155,80 @@ def _roles(daily: DataFrame, collecttype: str, roles: list[Column], users: bool)
     return seen.select(*[F.col(f"r.{c}").alias(c) if c in inner else F.col(c) for c in FLOW_ROW], "con_number", "con_traffic", *keep)
 
 
+def _server_roles(server: DataFrame, sockets: DataFrame) -> DataFrame:
+    """Flows of servers, summed: a server flow counts twice, its destination has a client and its source talks to a server."""
+    both = [_role({**_server_side("dest"), **_remote_side("source")}, "client"),
+            _role({**_server_side("source"), **_remote_side("dest")}, "server")]
+    rows = _roles(server, "nxserver", both).unionByName(_roles(sockets, "linuxserver", both))
+    return rows.groupBy(*FLOW_ROW).agg(F.sum("con_number").alias("con_number"), F.sum("con_traffic").alias("con_traffic"))
+
+
+def _device_roles(device: DataFrame, members: str) -> DataFrame:
+    """Device flows: each is a client of its destination."""
+    return _roles(device, "nxdevice", [_role({**_server_side("dest"), **DEVICE_REMOTE}, "client")], [members])
+
+
 def flow_detail(device: DataFrame, server: DataFrame, sockets: DataFrame) -> DataFrame:
-    """Daily flows of every server from all roles.
+    """Daily flows of every server from all roles, with the users of device flows as text."""
+    counted = _server_roles(server, sockets).withColumns(
+        {"client_user": F.lit(None).cast("string"), "distinct_client_user": F.lit(None).cast("int")})
+    sums = {"con_number": F.col("con_number"), "con_traffic": F.col("con_traffic")}
+    with_users = with_members(_device_roles(device, "I_ID_U"), FLOW_ROW, "I_ID_U", sums, "client_user", "distinct_client_user")
+    return with_users.unionByName(counted)
+
+
+def flow_detail_sets(device: DataFrame, server: DataFrame, sockets: DataFrame) -> DataFrame:
+    """Daily flows of every server from all roles, with the users of device flows as a bitmap (``client_users``).
 
-    A device flow is a client of its destination. A server flow counts twice:
-    its destination has a client, and its source talks to a server.
+    ``device`` is a table of ``device_day_sets``.
     """
-    both = [_role({**_server_side("dest"), **_remote_side("source")}, "client"),
-            _role({**_server_side("source"), **_remote_side("dest")}, "server")]
-    servers = _roles(server, "nxserver", both, False).unionByName(_roles(sockets, "linuxserver", both, False))
+    counted = _server_roles(server, sockets).withColumns(
+        {"client_users": F.lit(None).cast(us.SET), "distinct_client_user": F.lit(None).cast("int")})
     sums = {"con_number": F.col("con_number"), "con_traffic": F.col("con_traffic")}
-    counted = servers.groupBy(*FLOW_ROW).agg(*[F.sum(c).alias(n) for n, c in sums.items()]).withColumns(
-        {"client_user": F.lit(None).cast("string"), "distinct_client_user": F.lit(None).cast("int")})
-    devices = _roles(device, "nxdevice", [_role({**_server_side("dest"), **DEVICE_REMOTE}, "client")], True)
-    with_users = with_members(devices, FLOW_ROW, "I_ID_U", sums, "client_user", "distinct_client_user")
+    with_users = us.gather(_device_roles(device, "users"), FLOW_ROW, "users", sums, "client_users", "distinct_client_user")
     return with_users.unionByName(counted)
 
 
-def flow_summary(detail: DataFrame, by_month: bool) -> DataFrame:
-    """Flows per month or over all time, with distinct remote addresses, programs and users.
+ADDRESS, PROGRAM, USERS = 0, 1, 2  # what a part counts
+
 
-    Each distinct count has its own two-step aggregate, so no list of users is
-    built and a hot server spreads over its distinct values.
+def flow_parts(flows: DataFrame, also: list[str], members: str = "client_users") -> DataFrame:
+    """Mergeable parts of the flow tables: per flow key (and the columns ``also``) one row for each remote address, program and bucket of users.
+
+    Parts of different days and months unite by adding measures and joining words, so a month is made once. The measures stand on the
+    rows of addresses. ``flows`` are rows of ``flow_detail_sets``, or any rows with its keys, measures and a set.
     """
-    keys = [*(["month"] if by_month else []), *FLOW_KEYS]
-    users = detail.select("*", F.posexplode_outer(list_items(F.col("client_user"))).alias("_pos", "_user"))
-    first = F.coalesce(F.col("_pos"), F.lit(0)) == 0
-    return users.groupBy(*keys).agg(
-        F.count_distinct("remote_ip").alias("count_distinct_remote_ip"),
-        F.count_distinct("remote_app_exec").alias("count_distinct_remote_app_exec"),
-        F.sum(F.when(first, F.col("con_traffic"))).alias("con_traffic"),
-        F.sum(F.when(first, F.col("con_number"))).alias("con_number"),
-        F.count_distinct("_user").cast("int").alias("distinct_client_user"))
+    none = F.lit(None).cast("bigint")
+
+    def part(kind, value, bucket, word, traffic=none, number=none):
+        return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"), bucket.alias("bucket"), word.alias("word"),
+                        traffic.cast("bigint").alias("con_traffic"), number.cast("bigint").alias("con_number"))
+
+    ends = F.array(part(ADDRESS, F.col("remote_ip"), none, none, F.col("con_traffic"), F.col("con_number")), part(PROGRAM, F.col("remote_app_exec"), none, none))
+    users = F.transform(F.coalesce(F.col(members), F.array().cast(us.SET)), lambda w: part(USERS, F.lit(None), w["bucket"], w["word"]))
+    return merge_parts(flows.select(*also, *FLOW_KEYS, F.explode(F.concat(ends, users)).alias("p")).select(*also, *FLOW_KEYS, "p.*"), also)
+
+
+def merge_parts(parts: DataFrame, also: list[str]) -> DataFrame:
+    """Parts of equal keys as one."""
+    return parts.groupBy(*also, *FLOW_KEYS, "kind", "value", "bucket").agg(
+        F.sum("con_traffic").alias("con_traffic"), F.sum("con_number").alias("con_number"), F.bit_or("word").alias("word"))
+
+
+def count_parts(parts: DataFrame, by_month: bool) -> DataFrame:
+    """The flow table of merged parts: distinct remote addresses, programs and users, and the measures."""
+    def held(kind):
+        return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
+
+    return parts.groupBy(*(["month"] if by_month else []), *FLOW_KEYS).agg(
+        held(ADDRESS).alias("count_distinct_remote_ip"), held(PROGRAM).alias("count_distinct_remote_app_exec"),
+        F.sum("con_traffic").alias("con_traffic"), F.sum("con_number").alias("con_number"),
+        F.coalesce(F.sum(F.bit_count("word")), F.lit(0)).cast("int").alias("distinct_client_user"))
+
+
+def flow_summary(detail: DataFrame, by_month: bool) -> DataFrame:
+    """Flows per month or over all time, with distinct remote addresses, programs and users, from ``flow_detail_sets``."""
+    return count_parts(flow_parts(detail, ["month"] if by_month else []), by_month)
 
 
 def published_input(daily: DataFrame) -> DataFrame:
@@ -191,6 +247,21 @@ def cube(daily: DataFrame, collecttype: str, level: str, resolution: str = "IDM"
     return daily.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
 
 
+def cube_of(daily: DataFrame, keys: list[str], collecttype: str) -> DataFrame:
+    """Cube measures of daily rows over any keys; for devices from ``device_day_sets``, with their users as a bitmap."""
+    traffic = F.col("con_traffic_in") + F.col("con_traffic_out")
+    rows = daily.withColumns({"con_traffic": traffic, "con_times_traffic": traffic * F.col("con_number")})
+    return merge_cubes(rows, keys, collecttype)
+
+
+def merge_cubes(rows: DataFrame, keys: list[str], collecttype: str) -> DataFrame:
+    """Cube rows of equal keys as one: measures add up, bitmaps unite."""
+    sums = {c: F.col(c) for c in ("con_number", "con_traffic", "con_times_traffic")}
+    if collecttype == "device":
+        return us.gather(rows, keys, "users", sums, "users", "distinct_I_ID_U")
+    return rows.groupBy(*keys).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+
+
 def cube_without_detail(detail: DataFrame, collecttype: str, resolution: str = "IDM") -> DataFrame:
     """The small cube from the detailed one of the same days: its measures add up and its user lists unite."""
     keys = cube_keys(collecttype, "nodetail", resolution)

@@ -35,6 +35,12 @@ def stage_units(ledger: DataFrame, stage: str) -> DataFrame:
     return ledger.filter(F.col("stage") == stage).select("filetype", "server_ip", "dt").distinct()
 
 
+def deliveries_of(ledger: DataFrame, stage: str, filetype: str) -> DataFrame:
+    """The delivery that counts for each socket unit of one stage, the last one."""
+    mine = ledger.filter((F.col("stage") == stage) & (F.col("filetype") == filetype))
+    return mine.groupBy("server_ip", "dt").agg(F.max("delivery").alias("delivery"))
+
+
 def new_rows(rows: DataFrame, ledger: DataFrame, filetype: str, stage: str = ENCODE) -> DataFrame:
     """Rows of a new unit, or of a file earlier than the one recorded for the unit."""
     known = earliest_files(ledger, stage).filter(F.col("filetype") == filetype).drop("filetype")

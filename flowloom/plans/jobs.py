@@ -22,10 +22,12 @@ from flowloom.operators import privacy as pv
 from flowloom.operators import projections as pj
 from flowloom.operators import sockets as sk
 from flowloom.operators import usage as us
+from flowloom.operators import usersets
 from flowloom.operators.clustering import kmeans_clusters, markov_clusters
 from flowloom.operators.joining import lookup_join, semi_join
 from flowloom.plans.context import JobContext
 from flowloom.session import cut_lineage, work_path
+from flowloom.sources import deliveries as dl
 from flowloom.sources import logs
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
@@ -35,7 +37,7 @@ def event_ledger(spark: SparkSession, ctx: JobContext) -> DataFrame:
 
 
 def socket_ledger(spark: SparkSession, ctx: JobContext) -> DataFrame:
-    return rd.read_or_empty(spark, ctx.path("meta_sockets"), lg.SOCKET_SCHEMA)
+    return rd.read_or_empty(spark, ctx.path("meta_sockets"), f"{lg.SOCKET_SCHEMA}, {dl.DELIVERY} string")
 
 
 def _store(rows: DataFrame, ctx: JobContext, folder: str, units: list[str],
@@ -130,12 +132,30 @@ def resolve_executions(spark: SparkSession, ctx: JobContext, ranges: DataFrame,
     _store(rows, ctx, "resolved_execution", lg.UNIT, _recorded(units, lg.RESOLVE_EXECUTION), "meta")
 
 
+def known_users(spark: SparkSession, ctx: JobContext) -> DataFrame:
+    return rd.read_or_empty(spark, ctx.path("users"), usersets.DICTIONARY)
+
+
+def number_users(spark: SparkSession, ctx: JobContext, rows: DataFrame) -> DataFrame:
+    """The dictionary of user numbers, after the users of ``rows`` that it lacked were added. Numbers never change."""
+    fresh = cut_lineage(usersets.number_names(rows, "I_ID_U", known_users(spark, ctx)), "new-users")
+    if not fresh.isEmpty():
+        fresh.write.mode("append").parquet(ctx.path("users"))
+    return known_users(spark, ctx)
+
+
+def daily_devices(spark: SparkSession, ctx: JobContext) -> DataFrame:
+    """The stored daily device flows with their users as text, as they are exported."""
+    return usersets.with_names(spark.read.parquet(ctx.path("agg/device")), "users", known_users(spark, ctx), "I_ID_U")
+
+
 def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, last: str | None = None) -> None:
     """Daily aggregates of the resolved connections."""
     units = cut_lineage(_window(lg.pending_aggregates(event_ledger(spark, ctx)), first, last), "units")
     rows = _stored_rows(spark, ctx, "resolved", units)
+    devices = rows.filter(F.col("collecttype") == "device")
     server = ag.agg_server_day(rows.filter(F.col("collecttype") == "server"))
-    device = ag.agg_device_day(rows.filter(F.col("collecttype") == "device"))
+    device = ag.device_day_sets(devices, number_users(spark, ctx, devices))
     for folder, daily in (("agg/server", server), ("agg/device", device)):
         sn.write_units(daily, ctx.path(folder), ["dt", "engine"], list(ctx.partitions))
     sn.append_ledger(_recorded(units, lg.AGGREGATE), ctx.path("meta"))
@@ -144,17 +164,27 @@ def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, la
 # -- sockets -------------------------------------------------------------------------------------------------------
 
 
-# A new snapshot leaves all other days and servers alone.
-SNAPSHOT_PARTITIONS = ["month", "day", "server_ip"]
+# Snapshots and usage samples are stored by delivery (sources/deliveries.py): a run adds files and touches no others.
+SNAPSHOT, SNAPSHOT_PARTITIONS = ["server_ip", "dt"], ["month", "day"]
+RESOLVED_SNAPSHOT, RESOLVED_PARTITIONS = ["engine", "snapshot"], ["month", "dt"]
 
 
 def encode_sockets(spark: SparkSession, ctx: JobContext, inputs: dict[str, DataFrame]) -> None:
     """Encode socket, process and netstat snapshots, given by kind."""
     ledger = socket_ledger(spark, ctx)
     for kind, raw in inputs.items():
+        name = dl.new_delivery()
         rows = cut_lineage(lg.new_snapshots(pj.project_snapshot(raw), ledger, kind).withColumn("day", day_of(F.col("dt"))), f"encode-{kind}")
-        sn.write_units(rows, ctx.path(kind), ["server_ip", "dt"], SNAPSHOT_PARTITIONS, staged=True)
-        sn.append_ledger(lg.socket_entries(rows, kind, lg.ENCODE_SOCKETS), ctx.path("meta_sockets"))
+        if rows.isEmpty():
+            continue
+        dl.deliver(rows, ctx.path(kind), SNAPSHOT_PARTITIONS, name)
+        sn.append_ledger(lg.socket_entries(rows, kind, lg.ENCODE_SOCKETS).withColumn(dl.DELIVERY, F.lit(name)), ctx.path("meta_sockets"))
+
+
+def _snapshots(spark: SparkSession, ctx: JobContext, kind: str, units: DataFrame) -> DataFrame:
+    """Stored rows of the snapshots ``units``, from the deliveries that count."""
+    entries = semi_join(lg.deliveries_of(socket_ledger(spark, ctx), lg.ENCODE_SOCKETS, kind), units, SNAPSHOT)
+    return dl.delivered(lg.in_snapshot_days(spark.read.parquet(ctx.path(kind)), units), cut_lineage(entries, "entries"), SNAPSHOT).drop("day", dl.DELIVERY)
 
 
 def resolve_socket_rows(sockets: DataFrame, processes: DataFrame, ranges: DataFrame, assets: DataFrame,
@@ -167,40 +197,69 @@ def resolve_socket_rows(sockets: DataFrame, processes: DataFrame, ranges: DataFr
 
 def resolve_sockets(spark: SparkSession, ctx: JobContext, ranges: DataFrame, assets: DataFrame) -> None:
     units = cut_lineage(lg.pending_sockets(socket_ledger(spark, ctx)), "units")
-    wanted = units.select("server_ip", "dt").distinct()
-    sockets, processes = (semi_join(lg.in_snapshot_days(spark.read.parquet(ctx.path(kind)), units), wanted, ["server_ip", "dt"]).drop("day")
-                          for kind in ("lsof", "ps"))
-    rows = resolve_socket_rows(sockets, processes, ranges, assets, ctx.strict_ip)
-    sn.write_units(rows, ctx.path("resolved_sockets"), ["engine", "snapshot"], list(ctx.partitions))
-    entries = units.withColumn("stage", F.lit(lg.RESOLVE_SOCKETS)).select(*lg.SOCKET_COLUMNS)
+    if units.isEmpty():
+        return
+    wanted, name = units.select(*SNAPSHOT).distinct(), dl.new_delivery()
+    sockets, processes = (_snapshots(spark, ctx, kind, wanted) for kind in ("lsof", "ps"))
+    dl.deliver(resolve_socket_rows(sockets, processes, ranges, assets, ctx.strict_ip), ctx.path("resolved_sockets"), RESOLVED_PARTITIONS, name)
+    entries = units.withColumns({"stage": F.lit(lg.RESOLVE_SOCKETS), dl.DELIVERY: F.lit(name)}).select(*lg.SOCKET_COLUMNS, dl.DELIVERY)
     sn.append_ledger(entries, ctx.path("meta_sockets"))
 
 
 def aggregate_sockets(spark: SparkSession, ctx: JobContext) -> None:
     """Daily socket flows of the days that gained snapshots; the whole day is aggregated anew."""
-    units = cut_lineage(lg.pending_sockets(socket_ledger(spark, ctx), lg.RESOLVE_SOCKETS, lg.AGGREGATE_SOCKETS), "units")
+    ledger = socket_ledger(spark, ctx)
+    units = cut_lineage(lg.pending_sockets(ledger, lg.RESOLVE_SOCKETS, lg.AGGREGATE_SOCKETS), "units")
+    if units.isEmpty():
+        return
     days = units.select(F.col("server_ip").alias("engine"), day_of(F.col("dt")).alias("dt")).distinct()
-    rows = semi_join(lg.in_days_of(spark.read.parquet(ctx.path("resolved_sockets")), days), days, ["engine", "dt"])
-    sn.write_units(ag.agg_socket_day(rows), ctx.path("agg/serversockets"), ["dt", "engine"], list(ctx.partitions))
-    entries = units.withColumn("stage", F.lit(lg.AGGREGATE_SOCKETS)).select(*lg.SOCKET_COLUMNS)
+    counting = lg.deliveries_of(ledger, lg.RESOLVE_SOCKETS, "lsof").select(F.col("server_ip").alias("engine"), F.col("dt").alias("snapshot"), dl.DELIVERY)
+    counting = semi_join(counting.withColumn("dt", day_of(F.col("snapshot"))), days, ["engine", "dt"])
+    rows = dl.delivered(lg.in_days_of(spark.read.parquet(ctx.path("resolved_sockets")), days), cut_lineage(counting, "entries"), RESOLVED_SNAPSHOT)
+    sn.write_units(ag.agg_socket_day(rows.drop(dl.DELIVERY)), ctx.path("agg/serversockets"), ["dt", "engine"], list(ctx.partitions))
+    entries = units.withColumns({"stage": F.lit(lg.AGGREGATE_SOCKETS), dl.DELIVERY: F.lit("")}).select(*lg.SOCKET_COLUMNS, dl.DELIVERY)
     sn.append_ledger(entries, ctx.path("meta_sockets"))
 
 
+def compact_sockets(spark: SparkSession, ctx: JobContext, days: list, remove: bool = False) -> None:
+    """Bring closed days of stored snapshots into one delivery per table. ``remove`` clears what no longer counts, when nothing else runs."""
+    for kind in ("lsof", "ps"):
+        stage = {"stage": lg.ENCODE_SOCKETS, "filetype": kind}
+        dl.compact(spark, ctx.path(kind), ctx.path("meta_sockets"), SNAPSHOT, SNAPSHOT_PARTITIONS, "day", days, stage)
+        if remove:
+            dl.clear(spark, ctx.path(kind), ctx.path("meta_sockets"), SNAPSHOT, "day", days, stage)
+
+
 # -- usage, repositories, flow tables ------------------------------------------------------------------------------
 
 
+USAGE_LEDGER = "filetype string, server string, date timestamp_ntz, delivery string"
+SAMPLE = ["server", "date"]
+
+
 def encode_usage(spark: SparkSession, ctx: JobContext, usage: DataFrame) -> None:
-    """Derived disk and system samples, partitioned by day."""
-    for name, rows in (("iostat", us.derive_disk(us.pivot_metrics(usage, "iostat"))),
+    """Derived disk and system samples, partitioned by day and delivery; of a sample that is delivered again the last delivery counts."""
+    name = dl.new_delivery()
+    for kind, rows in (("iostat", us.derive_disk(us.pivot_metrics(usage, "iostat"))),
                        ("sysstat", us.derive_system(us.pivot_metrics(usage, "sysstat")))):
-        dated = rows.withColumns({"sample_month": F.date_format("date", "yyyy-MM"), "sample_day": F.to_date("date")})
-        sn.write_units(dated, ctx.path(name), ["server", "date"], ["sample_month", "sample_day"])
+        dated = cut_lineage(rows.withColumns({"sample_month": F.date_format("date", "yyyy-MM"), "sample_day": F.to_date("date")}), f"encode-{kind}")
+        if dated.isEmpty():
+            continue
+        dl.deliver(dated, ctx.path(kind), ["sample_month", "sample_day"], name)
+        entries = dated.select(F.lit(kind).alias("filetype"), *SAMPLE).distinct().withColumn(dl.DELIVERY, F.lit(name))
+        sn.append_ledger(entries, ctx.path("meta_usage"), files=None)
+
+
+def usage_samples(spark: SparkSession, ctx: JobContext, kind: str) -> DataFrame:
+    """Stored samples that count."""
+    named = dl.current(rd.read_or_empty(spark, ctx.path("meta_usage"), USAGE_LEDGER).filter(F.col("filetype") == kind), SAMPLE)
+    return dl.counting(spark.read.parquet(ctx.path(kind)), named, SAMPLE).drop("sample_month", "sample_day", dl.DELIVERY)
 
 
 def profile_usage(spark: SparkSession, ctx: JobContext, storage: DataFrame, assets: DataFrame) -> None:
     """Capacity profiles of all stored samples, one table with the three grains as partitions."""
-    disk = us.join_capacity(spark.read.parquet(ctx.path("iostat")).drop("sample_month", "sample_day"), storage, assets)
-    cpu = us.join_cpu(spark.read.parquet(ctx.path("sysstat")).drop("sample_month", "sample_day"), assets)
+    disk = us.join_capacity(usage_samples(spark, ctx, "iostat"), storage, assets)
+    cpu = us.join_cpu(usage_samples(spark, ctx, "sysstat"), assets)
     sn.write_table(us.profile_disk(disk), ctx.path("agg/iostat"), ["grain"])
     sn.write_table(us.profile_cpu(cpu), ctx.path("agg/sysstat"), ["grain"])
 
@@ -229,14 +288,46 @@ def build_assets(spark: SparkSession, ctx: JobContext, day: str | None = None) -
     sn.write_table(lk.assets_by_ip_and_app(star, ctx.strict_ip), ctx.path("repo/AIPExplode"))
 
 
-def build_flow_tables(spark: SparkSession, ctx: JobContext) -> None:
-    """Daily, monthly and all-time flow tables; the daily one is written once and read by the others."""
-    detail = ag.flow_detail(spark.read.parquet(ctx.path("agg/device")), spark.read.parquet(ctx.path("agg/server")),
-                            spark.read.parquet(ctx.path("agg/serversockets")))
-    sn.write_table(detail, ctx.path("agg/flow_detail_day"), ["month"])
-    stored = spark.read.parquet(ctx.path("agg/flow_detail_day"))
-    sn.write_table(ag.flow_summary(stored, by_month=True), ctx.path("agg/flow_month"), ["month"])
-    sn.write_table(ag.flow_summary(stored, by_month=False), ctx.path("agg/flow"))
+FLOW_STATE = "month string, n bigint, state decimal(38,0)"
+
+
+def flow_state(spark: SparkSession, ctx: JobContext) -> DataFrame:
+    """What the daily tables of each month are made of: number and digest of the aggregated units and their files."""
+    files = lg.earliest_files(event_ledger(spark, ctx), lg.AGGREGATE).select(
+        F.date_format("dt", "yyyy-MM").alias("month"), F.xxhash64("filetype", *lg.UNIT, "min_filedt").alias("mark"))
+    snapshots = lg.stage_units(socket_ledger(spark, ctx), lg.AGGREGATE_SOCKETS).select(
+        F.substring("dt", 1, 7).alias("month"), F.xxhash64("filetype", "server_ip", "dt").alias("mark"))
+    return files.unionByName(snapshots).groupBy("month").agg(F.count("*").alias("n"), F.sum(F.col("mark").cast("decimal(38,0)")).cast("decimal(38,0)").alias("state"))
+
+
+def build_flow_tables(spark: SparkSession, ctx: JobContext) -> list[str] | None:
+    """Daily, monthly and all-time flow tables; returns the months that were made again, None for all.
+
+    Only months whose aggregated units differ from those the stored tables were made of are read and written: their daily rows, their
+    mergeable parts, and the monthly table counted from these. The all-time table is merged from the parts of all months. Daily tables without
+    a ledger are taken whole. The state is recorded last, so a run that died is simply run again.
+    """
+    now = cut_lineage(flow_state(spark, ctx), "flow-state")
+    known = rd.read_or_empty(spark, ctx.path("meta_flow"), FLOW_STATE)
+    months = None
+    if not now.isEmpty():
+        months = [r["month"] for r in now.join(known, ["month", "n", "state"], "left_anti").orderBy("month").collect()]  # calendar months
+        if not months:
+            return months
+
+    def daily(name):
+        rows = spark.read.parquet(ctx.path(name))
+        return rows if months is None else rows.filter(F.col("month").cast("string").isin(months))
+
+    write = sn.write_table if months is None else sn.write_partitioned
+    write(ag.flow_detail_sets(daily("agg/device"), daily("agg/server"), daily("agg/serversockets")), ctx.path("agg/flow_detail_day"), ["month"])
+    write(ag.flow_parts(daily("agg/flow_detail_day"), ["month"]), ctx.path("agg/flow_parts"), ["month"])
+    write(ag.count_parts(daily("agg/flow_parts"), by_month=True), ctx.path("agg/flow_month"), ["month"])
+    parts = spark.read.parquet(ctx.path("agg/flow_parts"))
+    sn.write_table(ag.count_parts(ag.merge_parts(parts, []), by_month=False), ctx.path("agg/flow"))
+    if months is not None:
+        sn.write_table(now.coalesce(1), ctx.path("meta_flow"))
+    return months
 
 
 # -- publishing ----------------------------------------------------------------------------------------------------
@@ -252,29 +343,41 @@ def cube_name(collecttype: str, level: str, resolution: str, date_range: str) ->
     return f"Stat{stem}{'' if date_range == 'Full' else date_range}"
 
 
+def cube_path(folder: str, name: str) -> str:
+    return f"{folder}/cube={name}"
+
+
+def tagged_rows(daily: DataFrame, collecttype: str, days: DataFrame, starts: list[tuple[str, str]]) -> DataFrame:
+    """Daily rows of the valid days with the ranges they lie in, summed up per set of ranges: ``starts`` are (range, first day)."""
+    inside = F.filter(F.array(*[F.when(F.col("dt") >= F.lit(first).cast("date"), F.lit(name)) for name, first in starts]), lambda x: x.isNotNull())
+    rows = ag.in_valid_days(daily, days, min(first for _, first in starts)).withColumn("date_ranges", inside)
+    sites = [c for c in ("source_I_ID_site",) if collecttype == "device"]
+    keys = ["date_ranges", *sites, *ag.cube_keys(collecttype, "detail", "Device")]
+    return ag.cube_of(rows, keys, collecttype)
+
+
 def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFrame, applications: DataFrame,
             ranges: DataFrame, exports: bool = True, date_ranges: tuple[str, ...] | None = None) -> dict[str, str]:
     """Cubes per date range as tables, and the date ranges and dimension lists as one CSV each.
 
-    The cubes stay Parquet, so the site-map query can prune and push its filters
-    down. ``date_ranges`` names the ranges that get cubes; all do when it is not given. Returns name → path.
+    The daily rows of a collect type are read once: they are summed up with the set of ranges they lie in, and the cubes of all ranges and
+    resolutions come from these sums. Cubes without detail come from the detailed ones. The cubes stay Parquet, so the site-map query can
+    prune and push its filters down; only here users become text. ``date_ranges`` names the ranges that get cubes; all do when it is not given. Returns name → path.
     """
     target, written = f"{ctx.path('publish')}/data_{stamp}", {}
     units = lg.earliest_files(event_ledger(spark, ctx), lg.AGGREGATE)
     for collecttype, least in (("device", ctx.min_device_engines), ("server", ctx.min_server_engines)):
         days = cut_lineage(ag.valid_days(units, collecttype, least), "days")
         ranges_of_days = ag.date_ranges(days, ctx.first_day)
-        daily = ag.published_input(spark.read.parquet(ctx.path(f"agg/{collecttype}")))
-        for row in ranges_of_days.collect():  # four rows
-            if row["firstDate"] is None or (date_ranges is not None and row["date_range"] not in date_ranges):
-                continue
-            rows = ag.in_valid_days(daily, days, str(row["firstDate"]))
-            for resolution in RESOLUTIONS[collecttype]:
-                detail, small = (cube_name(collecttype, level, resolution, row["date_range"]) for level in ("detail", "nodetail"))
-                written[detail], written[small] = f"{target}/{detail}", f"{target}/{small}"
-                sn.write_table(ag.cube(rows, collecttype, "detail", resolution), written[detail])
-                stored = spark.read.parquet(written[detail])
-                sn.write_table(ag.cube_without_detail(stored, collecttype, resolution), written[small])
+        starts = [(r["date_range"], str(r["firstDate"])) for r in ranges_of_days.collect()  # four rows
+                  if r["firstDate"] is not None and (date_ranges is None or r["date_range"] in date_ranges)]
+        if starts:
+            daily = ag.published_input(spark.read.parquet(ctx.path(f"agg/{collecttype}")))
+            tagged = cut_lineage(tagged_rows(daily, collecttype, days, starts), "tagged")
+            for level in ("detail", "nodetail"):
+                names = {(n, r): cube_name(collecttype, level, r, n) for n, _ in starts for r in RESOLUTIONS[collecttype]}
+                sn.write_partitioned(_cubes(spark, ctx, tagged, collecttype, level, names), target, ["cube"])
+                written |= {name: cube_path(target, name) for name in names.values()}
         if exports:
             prefix = "DateRangeServer" if collecttype == "server" else "DateRange"
             written[prefix] = sn.export_csv(ranges_of_days, target, f"{prefix}.csv.gz", single=True, allowed_root=ctx.export_root)
@@ -287,6 +390,21 @@ def publish(spark: SparkSession, ctx: JobContext, stamp: str, identities: DataFr
     return written
 
 
+def _cubes(spark: SparkSession, ctx: JobContext, tagged: DataFrame, collecttype: str, level: str, names: dict[tuple[str, str], str]) -> DataFrame:
+    """All cubes of one level from the tagged sums, with their names in ``cube``; both resolutions in one aggregate."""
+    site = F.col("source_site")
+    variants = F.array(*[F.struct(F.lit(n).alias("range"), F.lit(name).alias("cube"), (F.col("source_I_ID_site") if collecttype == "device" and r == "IDM" else site).alias("_site"))
+                         for (n, r), name in names.items()])
+    mine = F.filter(variants, lambda v: F.array_contains("date_ranges", v["range"]))
+    rows = tagged.withColumn("_v", F.explode(mine)).withColumns({"cube": F.col("_v.cube"), "source_site": F.col("_v._site")})
+    found = ag.merge_cubes(rows, ["cube", *ag.cube_keys(collecttype, level, "Device")], collecttype)
+    if collecttype != "device":
+        return found
+    named = usersets.with_names(found, "users", known_users(spark, ctx), "I_ID_U")
+    by_identity = F.col("cube").isin([name for (_, r), name in names.items() if r == "IDM"])
+    return named.withColumns({"source_I_ID_site": F.when(by_identity, F.col("source_site")), "source_site": F.when(~by_identity, F.col("source_site"))})
+
+
 # -- listener logs -------------------------------------------------------------------------------------------------
 
 LISTENER_COLUMNS = ["date", "time", "host_name", "host_sid", "source_program", "source_host_name", "source_host_ip", "source_user",
@@ -325,9 +443,10 @@ def published_cube(spark: SparkSession, folder: str, source: str = "device", res
                    date_range: str = "Full") -> DataFrame:
     """A cube that ``publish`` wrote, under the names the site-map query reads; servers always have the detailed one."""
     level = "detail" if detailed or source == "server" else "nodetail"
-    cube = spark.read.parquet(f"{folder}/{cube_name(source, level, resolution, date_range)}")
+    cube = spark.read.parquet(cube_path(folder, cube_name(source, level, resolution, date_range)))
     site = "source_I_ID_site" if source == "device" and resolution == "IDM" else "source_site"
-    return cube.withColumnsRenamed({site: mx.SRC, "dest_site": mx.DST}).withColumn("source_app_name", strip_quotes(F.col("source_app_name")))
+    other = ({"source_I_ID_site", "source_site"} - {site}) & set(cube.columns)  # the site of the other resolution is empty
+    return cube.drop(*other).withColumnsRenamed({site: mx.SRC, "dest_site": mx.DST}).withColumn("source_app_name", strip_quotes(F.col("source_app_name")))
 
 
 def sitemap_rows(cube: DataFrame, sites: DataFrame, categories: DataFrame, source: str = "device",

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from flowloom.operators import aggregates as ag
 from flowloom.operators import ledger as lg
 from flowloom.operators import usage as us
+from flowloom.operators import usersets
 from flowloom.operators.matrix import with_measure
 from flowloom.plans.registry import query
+from flowloom.session import cut_lineage
 
 
 def _list(keys: list[str]) -> str:
@@ -29,6 +31,16 @@ def device_day(t):
     return ag.agg_device_day(t.d_resolved.filter(F.col("collecttype") == "device"))
 
 
+def user_dictionary(t):
+    """Numbers of all users, as the jobs keep them."""
+    return cut_lineage(usersets.number_names(t.d_flows, "I_ID_U"), "users")
+
+
+def device_day_sets(t, dictionary=None):
+    rows = t.d_resolved.filter(F.col("collecttype") == "device")
+    return ag.device_day_sets(rows, dictionary if dictionary is not None else user_dictionary(t))
+
+
 def server_day(t):
     return ag.agg_server_day(t.d_resolved.filter(F.col("collecttype") == "server"))
 
@@ -110,14 +122,25 @@ SELECT d.*, CAST(coalesce(u.n, 0) AS INTEGER) AS distinct_client_user FROM (
 LEFT JOIN u ON {' AND '.join(f'd.{k} IS NOT DISTINCT FROM u.{k}' for k in keys.split(', '))}"""
 
 
+def flow_detail_sets(t):
+    return ag.flow_detail_sets(device_day_sets(t), server_day(t), socket_day(t))
+
+
 @query("flow_month", _summary_sql("month, "))
 def _(t):
-    return ag.flow_summary(flow_detail(t), by_month=True)
+    return ag.flow_summary(flow_detail_sets(t), by_month=True)
 
 
 @query("flow_total", _summary_sql(""))
 def _(t):
-    return ag.flow_summary(flow_detail(t), by_month=False)
+    return ag.flow_summary(flow_detail_sets(t), by_month=False)
+
+
+@query("user_sets", DEVICE_DAY_SQL)
+def _(t):
+    """The daily table as it is stored, with bitmaps, and its users as text as it is exported."""
+    dictionary = user_dictionary(t)
+    return usersets.with_names(device_day_sets(t, dictionary), "users", dictionary, "I_ID_U")
 
 
 # The product is taken from the daily rows, as the cubes are built from the daily tables.
