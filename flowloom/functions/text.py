@@ -79,9 +79,9 @@ def site_label(site: Column, country: Column) -> Column:
 
 
 def normalize_user(name: Column, domain_suffix: str) -> Column:
-    """Lower case without the given domain suffix."""
-    escaped = domain_suffix.lower().replace(".", r"\.")
-    return F.regexp_replace(F.lower(name), escaped, "")
+    """Lower case without the given domain suffix at its end."""
+    lowered, suffix = F.lower(name), domain_suffix.lower()
+    return F.when(lowered.endswith(suffix), F.substring(lowered, F.lit(1), F.length(lowered) - len(suffix))).otherwise(lowered)
 
 
 def login_of(login: Column, domain: Column) -> Column:

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions import is_internal_ip
-from flowloom.operators.joining import lookup_join, semi_join
+from flowloom.operators.joining import anti_join, lookup_join, semi_join
+from flowloom.session import cut_lineage
 
 EXCLUDED_STATUS = ["Disposed", "Standby", "Stock", "Disposal"]  # fixed values
 
@@ -214,3 +215,41 @@ def application_list_filter(columns: list[str], source: dict | None = None, sour
     if not tests:
         return F.lit(True)
     return reduce((lambda a, b: a & b) if between == "AND" else (lambda a, b: a | b), tests)
+
+
+MOST_EXPRESSIONS = 1000
+_SPECIAL = r"[\\.^$|?*+()\[\]{}]"  # a pattern without these is plain text, but for ^ at its start and $ at its end
+
+
+def values_in_list(values: DataFrame, column: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
+    """Distinct values of ``column`` that hold one of the patterns; the list may be of any size and stays a table.
+
+    Plain patterns, which may be anchored by ^ and $, meet the pieces of the values that are as long as one of them in an equality join: a value of n characters
+    has at most n pieces for each length that occurs. Other patterns are regular expressions, tested on the distinct values as one
+    expression. They become part of the plan, so there may be ``MOST_EXPRESSIONS`` of them. Null and empty patterns match nothing.
+    """
+    texts = patterns.select(F.col(pattern).alias("_p")).filter(F.coalesce(F.col("_p"), F.lit("")) != "").distinct()
+    first, last = F.col("_p").startswith("^"), F.col("_p").endswith("$")
+    body = F.substring(F.col("_p"), F.when(first, 2).otherwise(1), F.length("_p") - first.cast("int") - last.cast("int"))
+    split = cut_lineage(texts.select("_p", body.alias("_body"), first.alias("_first"), last.alias("_last")).withColumn("_plain", ~F.col("_body").rlike(_SPECIAL) & (F.col("_body") != "")), "patterns")
+    plain = split.filter("_plain").select("_body", "_first", "_last").distinct()
+    lengths = [r["n"] for r in plain.select(F.length("_body").alias("n")).distinct().orderBy("n").collect()]  # as many as a pattern has characters at most
+    distinct = cut_lineage(values.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull()).distinct(), "values")
+    sizes = distinct.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"))).filter(F.col("_n") <= F.length("_value"))
+    pieces = sizes.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_value") - F.col("_n") + 1))).withColumn("_body", F.substring("_value", F.col("_at"), F.col("_n")))
+    placed = (~F.col("_first") | (F.col("_at") == 1)) & (~F.col("_last") | (F.col("_at") + F.col("_n") - 1 == F.length("_value")))
+    hits = lookup_join(pieces, plain, "_body", "inner").filter(placed).select("_value")
+    rest = [r["_p"] for r in split.filter("not _plain").select("_p").limit(MOST_EXPRESSIONS + 1).collect()]
+    if len(rest) > MOST_EXPRESSIONS:
+        raise ValueError(f"a filter list may have {MOST_EXPRESSIONS} regular expressions besides any number of plain patterns")
+    if rest:
+        hits = hits.unionByName(distinct.filter(F.col("_value").rlike("|".join(f"(?:{p})" for p in rest))))
+    return hits.distinct().select(F.col("_value").alias(column))
+
+
+def filter_by_list(rows: DataFrame, column: str, patterns: DataFrame, mode: str = "include", pattern: str = "pattern") -> DataFrame:
+    """Rows whose ``column`` holds a pattern of the list, or those that hold none; a null value holds none."""
+    if mode not in ("include", "exclude"):
+        raise ValueError(f"mode must be include or exclude, not {mode!r}")
+    found = cut_lineage(values_in_list(rows, column, patterns, pattern), "listed")
+    return (semi_join if mode == "include" else anti_join)(rows, found, [column])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -99,18 +99,21 @@ def resolve_sites(flows: DataFrame, segments: DataFrame, ends: dict[str, str]) -
 
 
 def resolve_users(flows: DataFrame, identities: DataFrame) -> DataFrame:
-    """Sector, site and team of the user; identities must hold one row per ``I_ID``."""
+    """Sector, site and team of the user; of several rows of an ``I_ID`` the greatest counts, so no flow is repeated."""
     lookup = identities.select(
         F.col("I_ID").alias("I_ID_U"), F.col("Sector").alias("source_sector"),
         F.col("SiteCode").alias("_site"), F.col("TerangaCode").alias("source_teranga"))
-    return lookup_join(flows, lookup, "I_ID_U").select(
+    return lookup_join(flows, best_row(lookup, ["I_ID_U"], ["source_sector"]), "I_ID_U").select(
         *flows.columns, "source_sector", default_site(F.col("_site")).alias("source_I_ID_site"), "source_teranga")
 
 
 def resolve_assets(flows: DataFrame, assets: DataFrame, ends: tuple[str, ...] = ("dest", "source"),
                    site_fallback: bool = True) -> DataFrame:
-    """Asset columns of each end by address; a site still ``nf`` takes the site of the asset."""
-    lookup = bounded_broadcast(assets.select("aip_server_ip", "aip_server_site", *AIP_FLOW_COLUMNS))
+    """Asset columns of each end by address; a site still ``nf`` takes the site of the asset.
+
+    Of several assets of an address that with the greatest application name counts, as in ``assets_by_ip``, so no flow is repeated.
+    """
+    lookup = bounded_broadcast(best_row(assets.select("aip_server_ip", "aip_server_site", *AIP_FLOW_COLUMNS), ["aip_server_ip"], ["aip_app_name", "aip_server_adminby"]))
     result = flows
     for end in ends:
         side = prefixed(lookup, f"{end}_")
@@ -191,13 +194,15 @@ def asset_star(servers: DataFrame, instances: DataFrame, applications: DataFrame
     )
 
 
+def concat_all(column: Column, separator: str = "||") -> Column:
+    """Aggregate: all values with repeats, sorted and joined; null and empty ones are skipped."""
+    return F.array_join(F.array_sort(F.collect_list(F.nullif(column, F.lit("")))), separator)
+
+
 def asset_rollup(star: DataFrame, separator: str = "||") -> DataFrame:
     """One row per server; its application attributes joined with repeats, sorted, empties skipped."""
-    def joined(name: str):
-        values = F.collect_list(F.nullif(F.col(f"v_{name}"), F.lit("")))
-        return F.array_join(F.array_sort(values), separator).alias(name)
-
-    return star.groupBy(*SERVER_COLUMNS).agg(*[joined(n) for n in ASSET_VALUES], F.max("filedate").alias("filedate"))
+    joined = [concat_all(F.col(f"v_{n}"), separator).alias(n) for n in ASSET_VALUES]
+    return star.groupBy(*SERVER_COLUMNS).agg(*joined, F.max("filedate").alias("filedate"))
 
 
 def best_row(df: DataFrame, keys: list[str], prefer: list[str]) -> DataFrame:

@@ -14,7 +14,7 @@ from flowloom.functions import (
 )
 from flowloom.operators.filters import live_ranges
 
-# Extract column → table column, in table order.
+# Extract column → table column, in table order.
 CONNECTION = {
     "I_ID_D": "I_ID_D",
     "I_ID_U": "I_ID_U",
@@ -38,6 +38,7 @@ CONNECTION = {
     "engine": "engine",
     "filedt": "filedt",
 }
+# Columns of the files.
 WEBREQUEST = {
     "I_ID_D": "I_ID_D",
     "wr_start_time": "start",
@@ -49,6 +50,7 @@ WEBREQUEST = {
     "engine": "engine",
     "filedt": "filedt",
 }
+# Columns of the files.
 EXECUTION = {
     "I_ID_D": "I_ID_D",
     "I_ID_U": "I_ID_U",
@@ -190,6 +192,7 @@ def project_ip_ranges(raw: DataFrame, filedate: str, status: str = "Status", act
 
 LOWER, ID = "lower", "id"  # how a repository column is cleaned: lower case, or no leading zeros
 
+# Columns of the files.
 SERVER = {
     "aip_server_hostname": ("Host name", LOWER),
     "aip_server_phys_host": "Physical Server name",
@@ -213,6 +216,7 @@ SERVER = {
     "aip_server_source": "Source",
     "aip_server_os_name": "OS Name",
 }
+# Columns of the files.
 APPLICATION = {
     "aip_app_name": "Application Name",
     "aip_app_shared_unique_id": ("Shared Unique ID", ID),
@@ -225,6 +229,7 @@ APPLICATION = {
     "aip_app_it_owner": "IT Owner",
     "aip_app_is_owner": "IS Owner",
 }
+# Columns of the files.
 GRID_FUSION = {
     "aip_appgf_name": "Name",
     "aip_appgf_shared_unique_id": ("Shared Unique ID", ID),
@@ -232,6 +237,7 @@ GRID_FUSION = {
     "aip_appgf_grid_app_name": "GridFusion Application Name",
     "aip_appgf_billing_code": "Billing Code",
 }
+# Columns of the files.
 SOFT_INSTANCE = {
     "aip_appinstance_name": "Application name",
     "aip_appinstance_shared_unique_id": ("Shared Unique ID", ID),
@@ -241,6 +247,7 @@ SOFT_INSTANCE = {
     "aip_appinstance_sector": "Application Sector",
     "aip_appinstance_state": "Application current state",
 }
+# Columns of the files.
 ORG_DEPLOY = {
     "aip_orgdeploy_name": "Application Name",
     "aip_orgdeploy_shared_unique_id": ("Shared Unique ID", ID),
@@ -250,6 +257,7 @@ ORG_DEPLOY = {
     "aip_orgdeploy_unit_type": "Org unit Type",
     "aip_orgdeploy_users_nb": "Expected number of users",
 }
+# Columns of the files.
 SOFTWARE = {
     "aip_software_name": "Application",
     "aip_software_shared_unique_id": ("Unique ID", ID),
@@ -263,6 +271,7 @@ SOFTWARE = {
     "aip_software_product_version": "Product Version",
     "aip_software_product_edition": "Product Edition",
 }
+# Columns of the files.
 IDENTITY = {c: c for c in ("I_ID", "SiteCode", "SiteName", "CountryCode", "Sector", "TerangaCode")}
 
 

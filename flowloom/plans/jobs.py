@@ -7,6 +7,7 @@ change nothing when they are repeated, so a job that died is simply run again.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,6 +33,13 @@ from flowloom.sources import logs
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
 
+# Names that other systems read — columns of the listener table, resolutions and names of the published cubes.
+LISTENER_COLUMNS = ["date", "time", "host_name", "host_sid", "source_program", "source_host_name", "source_host_ip", "source_user",
+                    "host_port", "host_instance", "source_filename", "source_filedate", "integration_date", "file_first_date", "file_last_date"]
+RESOLUTIONS = {"device": ["IDM", "Device"], "server": ["IDM"]}
+CUBE_STEMS = {("device", "nodetail"): "AppliSite", ("device", "detail"): "AppliSiteServer", ("server", "nodetail"): "AppliServer2Server", ("server", "detail"): "AppliDetailServer2Server"}
+
+
 def event_ledger(spark: SparkSession, ctx: JobContext) -> DataFrame:
     return rd.read_or_empty(spark, ctx.path("meta"), lg.LEDGER_SCHEMA)
 
@@ -190,7 +198,7 @@ def _snapshots(spark: SparkSession, ctx: JobContext, kind: str, units: DataFrame
 def resolve_socket_rows(sockets: DataFrame, processes: DataFrame, ranges: DataFrame, assets: DataFrame,
                         strict_ip: bool = False) -> DataFrame:
     """Directed socket flows with assets and sites; an asset never replaces a site here."""
-    flows = sk.socket_flows(sk.infer_direction(sk.join_process(sockets, processes)), strict_ip)
+    flows = sk.socket_flows(sk.directed_sockets(sockets, processes), strict_ip)
     with_assets = lk.resolve_assets(flows, assets, site_fallback=False)
     return lk.resolve_sites(with_assets, site_lookup(ranges), {"source_ip": "source_site", "dest_ip": "dest_site"})
 
@@ -332,15 +340,10 @@ def build_flow_tables(spark: SparkSession, ctx: JobContext) -> list[str] | None:
 
 # -- publishing ----------------------------------------------------------------------------------------------------
 
-RESOLUTIONS = {"device": ["IDM", "Device"], "server": ["IDM"]}
 
 
 def cube_name(collecttype: str, level: str, resolution: str, date_range: str) -> str:
-    if collecttype == "device":
-        stem = f"{resolution}AppliSite" + ("Server" if level == "detail" else "")
-    else:
-        stem = "AppliDetailServer2Server" if level == "detail" else "AppliServer2Server"
-    return f"Stat{stem}{'' if date_range == 'Full' else date_range}"
+    return "".join(["Stat", resolution if collecttype == "device" else "", CUBE_STEMS[collecttype, level], "" if date_range == "Full" else date_range])
 
 
 def cube_path(folder: str, name: str) -> str:
@@ -407,8 +410,6 @@ def _cubes(spark: SparkSession, ctx: JobContext, tagged: DataFrame, collecttype:
 
 # -- listener logs -------------------------------------------------------------------------------------------------
 
-LISTENER_COLUMNS = ["date", "time", "host_name", "host_sid", "source_program", "source_host_name", "source_host_ip", "source_user",
-                    "host_port", "host_instance", "source_filename", "source_filedate", "integration_date", "file_first_date", "file_last_date"]
 
 
 def ingest_listener(spark: SparkSession, ctx: JobContext, paths: list[str], integration_date: str, in_pieces: bool = False) -> None:
@@ -449,40 +450,65 @@ def published_cube(spark: SparkSession, folder: str, source: str = "device", res
     return cube.drop(*other).withColumnsRenamed({site: mx.SRC, "dest_site": mx.DST}).withColumn("source_app_name", strip_quotes(F.col("source_app_name")))
 
 
-def sitemap_rows(cube: DataFrame, sites: DataFrame, categories: DataFrame, source: str = "device",
-                 sectors=(), keep_null_sector: bool = True, dest_sectors=(), keep_null_dest_sector: bool = True,
-                 site_in=(), site_out=(), site_operand: str = "OR", drop_in=(), drop_out=(), drop_operand: str = "AND",
-                 country_in=(), country_out=(), country_operand: str = "AND", drop_country_in=(), drop_country_out=(),
-                 drop_country_operand: str = "AND", inter: bool = True, intra: bool = True, category_in=(), category_out=(),
-                 category_operand: str = "AND", app_filters: dict | None = None, ports: str = "", ports_mode: str = "include",
+@dataclass(frozen=True)
+class Ends:
+    """Values for the two ends of a flow; ``operand`` joins the tests of both."""
+
+    source: tuple[str, ...] = ()
+    dest: tuple[str, ...] = ()
+    operand: str = "AND"
+
+
+@dataclass(frozen=True)
+class MapFilter:
+    """Which flows a site map shows; what is left empty does not restrict."""
+
+    sectors: Ends = Ends()
+    unknown_sectors: tuple[bool, bool] = (True, True)  # whether flows without a sector stay, by end
+    sites: Ends = Ends(operand="OR")
+    without_sites: Ends = Ends()
+    countries: Ends = Ends()
+    without_countries: Ends = Ends()
+    categories: Ends = Ends()
+    between_sites: bool = True
+    within_sites: bool = True
+    applications: dict = field(default_factory=dict)
+    ports: str = ""
+    ports_mode: str = "include"
+
+
+def sitemap_rows(cube: DataFrame, sites: DataFrame, categories: DataFrame, source: str = "device", shown: MapFilter = MapFilter(),
                  detailed: bool = False) -> DataFrame:
     """The filters of the site-map query, in one plan, then country, name and category of both ends."""
-    rows = cube.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("nf")) for c in (mx.SRC, mx.DST)})
-    rows = rows.filter(fl.application_list_filter(cube.columns, **(app_filters or {})))
-    rows = rows.filter(fl.closed_only())
-    rows = rows.filter(fl.sector_filter(source, sectors, keep_null_sector, dest_sectors, keep_null_dest_sector))
-    rows = rows.filter(fl.include_ends(mx.SRC, mx.DST, site_in, site_out, site_operand))
-    rows = rows.filter(fl.exclude_ends(mx.SRC, mx.DST, drop_in, drop_out, drop_operand))
+    def keep(ends, wanted):
+        return fl.include_ends(*ends, wanted.source, wanted.dest, wanted.operand)
+
+    def leave(ends, unwanted):
+        return fl.exclude_ends(*ends, unwanted.source, unwanted.dest, unwanted.operand)
+
+    codes, countries = (mx.SRC, mx.DST), ("CountryCode_Source", "CountryCode_Destination")
+    rows = cube.withColumns({c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit("nf")) for c in codes})
+    rows = rows.filter(fl.application_list_filter(cube.columns, **shown.applications) & fl.closed_only())
+    rows = rows.filter(fl.sector_filter(source, shown.sectors.source, shown.unknown_sectors[0], shown.sectors.dest, shown.unknown_sectors[1]))
+    rows = rows.filter(keep(codes, shown.sites) & leave(codes, shown.without_sites))
     rows = lk.lookup_sites_info(rows, sites)
-    ends = ("CountryCode_Source", "CountryCode_Destination")
-    rows = rows.filter(fl.include_ends(*ends, country_in, country_out, country_operand))
-    rows = rows.filter(fl.exclude_ends(*ends, drop_country_in, drop_country_out, drop_country_operand))
-    rows = rows.filter(fl.inter_intra(inter, intra))
-    rows = fl.category_filter(rows, categories, category_in, category_out, category_operand)
+    rows = rows.filter(keep(countries, shown.countries) & leave(countries, shown.without_countries))
+    rows = rows.filter(fl.inter_intra(shown.between_sites, shown.within_sites))
+    rows = fl.category_filter(rows, categories, shown.categories.source, shown.categories.dest, shown.categories.operand)
     if detailed:
-        rows = rows.filter(fl.port_filter(ports, ports_mode))
+        rows = rows.filter(fl.port_filter(shown.ports, shown.ports_mode))
     return lk.lookup_categories(rows, categories)
 
 
 def sitemap(cube: DataFrame, sites: DataFrame, categories: DataFrame, measure: str = "ConnectTimesData", limit: int = 50,
             source: str = "device", detailed: bool = False, clustering: str | None = None, inflation: float = 1.5,
-            expansion: int = 4, clusters: int = 100, directed: bool = False, **filters) -> dict:
+            expansion: int = 4, clusters: int = 100, directed: bool = False, shown: MapFilter = MapFilter()) -> dict:
     """Site-to-site matrix of a published cube.
 
     Returns the bounded ``edges``, the ``unit`` as a power of ten, the ``detail``
     table and, when asked for, the ``clusters``.
     """
-    rows = sitemap_rows(cube, sites, categories, source, detailed=detailed, **filters)
+    rows = sitemap_rows(cube, sites, categories, source, shown, detailed)
     rows = mx.label_sites(mx.with_measure(rows, measure))
     detail = ag.traffic_detail(rows, source, detailed)
     # The pairs of sites are few; written apart, the reductions below do not scan the cube again.
@@ -511,7 +537,12 @@ def weighted_graph(edges: DataFrame, max_nodes: int = 100, ceiling: float = 1_00
 # -- pseudonyms ----------------------------------------------------------------------------------------------------
 
 def read_feed(spark: SparkSession, paths, kind: str) -> DataFrame:
-    """A raw tab-separated extract of one width with its columns named, and engine and file date from its file name."""
+    """A raw tab-separated extract of one width with its columns named, and engine and file date from its file name.
+
+    Listener feeds are the tables of ``ingest_listener`` as files with a header; their attributes are in their columns.
+    """
+    if kind == "listener":
+        return spark.read.options(header=True, sep=";").csv(paths).select(*LISTENER_COLUMNS)
     raw = spark.read.options(sep="\t", header=False).csv(paths)
     origin = ["engine", "filedt"]
     tagged = rd.with_file_metadata(raw).select(*raw.columns, *origin)

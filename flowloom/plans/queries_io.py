@@ -135,7 +135,7 @@ def _(t):
 def _(t):
     # The regions fit a file far below the limit; the line items do not.
     path = work_path(t.spark, "sizes")
-    t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber").coalesce(2).write.json(path)
+    t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber").hint("rebalance").write.json(path)
     t.region.select(F.col("r_regionkey").cast("bigint").alias("l_orderkey")).coalesce(1).write.mode("append").json(path)
     scan = t.spark.read.schema("l_orderkey bigint, l_partkey bigint, l_linenumber int").json(path)
     return scan.filter(rd.large_enough())
@@ -443,7 +443,7 @@ def _(t):
     rows.write.parquet(source)
     stream = spark.readStream.schema(rows.schema).parquet(source)
     totals = st.daily_totals(stream, "ts", ["event_type"], {"total": F.floor("value").cast("bigint")})
-    st.run_to_table(totals, target, work_path(spark, "checkpoint"), mode="complete").awaitTermination()
+    st.open_days_to_table(totals, target, ["event_type"], work_path(spark, "checkpoint")).awaitTermination()
     return spark.read.schema("dt date, event_type string, n bigint, total bigint").parquet(target)
 
 
@@ -451,12 +451,12 @@ def _(t):
 def _(t):
     spark = t.spark
     source, target = work_path(spark, "redelivered"), work_path(spark, "distinct")
-    rows = t.d_connection.select("I_ID_U", "engine", "dt", F.col("dt").cast("timestamp").alias("ts"))
-    rows.write.parquet(source)
-    stream = spark.readStream.schema(rows.schema).parquet(source)
-    first = st.without_redelivery(stream, ["I_ID_U", "engine", "dt"], "ts", "4000 days").select("I_ID_U", "engine", "dt")
-    st.run_to_table(first, target, work_path(spark, "checkpoint")).awaitTermination()
-    return spark.read.schema("I_ID_U string, engine string, dt date").parquet(target)
+    rows, checkpoint = t.d_connection.select("I_ID_U", "engine", "dt", "month"), work_path(spark, "checkpoint")
+    for _ in range(2):  # all of it is delivered again years later
+        rows.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(rows.schema).parquet(source)
+        st.first_arrivals(stream, target, ["I_ID_U", "engine", "dt", "month"], "month", checkpoint).awaitTermination()
+    return spark.read.schema("I_ID_U string, engine string, dt date, month string").parquet(target).drop("month")
 
 
 @query("backfill_windows", f"""

@@ -16,6 +16,7 @@ from flowloom.plans.queries_tables import (
     ADDRESS_SITES, DIRECTED_SQL, IP_NUMBER, PENDING_SQL, ROLLUP_SHOWN, ROLLUP_SQL, SERVER_ENGINES, URLS_SQL,
 )
 from flowloom.plans.registry import query
+from flowloom.session import cut_lineage, work_path
 from flowloom.sources import sinks as sn
 
 OPTIONS = {"server_engines": tuple(SERVER_ENGINES), "partitions": ("month",)}
@@ -324,9 +325,9 @@ kept AS (SELECT Site FROM (SELECT *, sum(roles) OVER (ORDER BY total DESC, Site)
 SELECT * FROM s WHERE SiteCode_Source IN (SELECT Site FROM kept) AND SiteCode_Destination IN (SELECT Site FROM kept)""")
 def _(t):
     result = jobs.sitemap(
-        t.d_cube, t.d_sites, t.d_categories, "SumData", SITEMAP_LIMIT, detailed=True, sectors=["BUILDING", "MACHINERY", "HOUSEHOLD"],
-        intra=False, drop_in=["S4"], drop_country_in=["C9"], ports="tcp/1-900",
-        app_filters={"source": {"AIPAppName": ["App [0-4]"]}})
+        t.d_cube, t.d_sites, t.d_categories, "SumData", SITEMAP_LIMIT, detailed=True, shown=jobs.MapFilter(
+            sectors=jobs.Ends(("BUILDING", "MACHINERY", "HOUSEHOLD")), within_sites=False, without_sites=jobs.Ends(("S4",)),
+            without_countries=jobs.Ends(("C9",)), ports="tcp/1-900", applications={"source": {"AIPAppName": ["App [0-4]"]}}))
     return result["edges"].withColumn("unit", F.lit(result["unit"]))
 
 
@@ -412,3 +413,39 @@ def _(t):
     return rows.select(F.lit("row").alias("kind"), "NX_con_end_time", "NX_con_destination_ip", "I_ID_U", "I_ID_D").unionByName(
         stored.select(F.lit("entry").alias("kind"), none.alias("NX_con_end_time"), F.col("name").alias("NX_con_destination_ip"),
                       F.col("I_ID").alias("I_ID_U"), none.alias("I_ID_D")))
+
+
+def _raw_feed(t, kind: str) -> str:
+    """A raw feed as the collectors deliver it; returns its folder."""
+    rows, path = t.sql(FEED_SQL), work_path(t.spark, f"{kind}_e1_20160501")
+    user, device, other = F.col("NX_user_name"), F.col("NX_device_name"), F.lit("x")
+    if kind == "listener":
+        named = {"source_user": user, "source_host_name": device}
+        rows.select(*[named.get(c, other).alias(c) for c in jobs.LISTENER_COLUMNS]).write.options(header=True, sep=";").csv(path)
+        return path
+    columns = {"execution": [*[other] * 13, user, device, other], "webrequest": [*[other] * 16, device, *[other] * 8],
+               "bigfix": [device, *[other] * 17]}[kind]
+    rows.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).write.options(sep="\t").csv(path)
+    return path
+
+
+_USER_ID = f"""CASE WHEN c_acctbal > 0 THEN concat('id-', CAST(c_custkey AS VARCHAR)) ELSE sha256(concat('{KEY}:', lower(c_name))) END"""
+_DEVICE_ID = f"sha256(concat('{KEY}:', lower(NX_device_name)))"
+FEEDS = {"execution": True, "webrequest": False, "bigfix": False, "listener": True}  # whether a feed names users
+
+
+@query("job_pseudonymize_feeds", "\nUNION ALL\n".join(
+    f"SELECT '{kind}' AS feed, {_USER_ID if users else 'NULL'} AS I_ID_U, {_DEVICE_ID} AS I_ID_D, count(*) AS n FROM ({FEED_SQL}) f JOIN customer ON o_custkey = c_custkey GROUP BY ALL"
+    for kind, users in FEEDS.items()))
+def _(t):
+    """All other feeds from their raw files, with one dictionary that grows from feed to feed."""
+    spark, ctx = t.spark, jobs.scratch(t.spark, "feeds", key=KEY, **OPTIONS)
+    jobs.store_dictionary(spark, ctx, dictionary(t).select("name", "I_ID"))
+    frames = []
+    for kind, users in FEEDS.items():
+        feed = jobs.read_feed(spark, _raw_feed(t, kind), kind)
+        rows, entries = jobs.pseudonymize_feed(feed, kind, cut_lineage(spark.read.parquet(ctx.path("dictionary")), "dictionary"), ctx)
+        jobs.store_dictionary(spark, ctx, entries)
+        user = F.col("I_ID_U") if users else F.lit(None).cast("string")
+        frames.append(rows.select(F.lit(kind).alias("feed"), user.alias("I_ID_U"), "I_ID_D").groupBy("feed", "I_ID_U", "I_ID_D").agg(F.count("*").alias("n")))
+    return union_by_name(frames)

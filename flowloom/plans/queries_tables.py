@@ -618,8 +618,7 @@ FROM (SELECT s_nationkey, CASE WHEN s_acctbal < 0 THEN '' WHEN s_acctbal > 9000
       FROM supplier) x GROUP BY ALL""")
 def _(t):
     function = F.when(F.col("s_acctbal") < 0, "").when(F.col("s_acctbal") <= 9000, F.concat(F.lit("f"), (F.col("s_suppkey") % 3).cast("string")))
-    values = F.collect_list(F.nullif(function, F.lit("")))
-    return t.supplier.groupBy("s_nationkey").agg(F.array_join(F.array_sort(values), "||").alias("functions"), F.count("*").alias("n"))
+    return t.supplier.groupBy("s_nationkey").agg(lk.concat_all(function).alias("functions"), F.count("*").alias("n"))
 
 
 @query("dedupe_best_row", f"""
@@ -659,7 +658,7 @@ def _(t):
 
 @query("infer_direction", DIRECTED_SQL)
 def _(t):
-    return sk.infer_direction(sk.join_process(t.d_lsof, t.d_ps)).select(
+    return sk.directed_sockets(t.d_lsof, t.d_ps).select(
         "dt", "server_ip", "pid", "status", "node", "source_ip", "dest_ip", "dest_port", "source_app_exec", "source_app_paths")
 
 
@@ -672,7 +671,7 @@ SELECT 'NA' AS I_ID_U, 'NA' AS I_ID_D, 'NA' AS con_start, dt AS con_end, CAST(NU
   CAST(substr(dt, 1, 10) AS DATE) AS dt, 'NA' AS source_sector, 'NA' AS source_I_ID_site, 'NA' AS url, substr(dt, 1, 7) AS month,
   dt AS snapshot FROM ({DIRECTED_SQL}) x WHERE status <> '(BOUND)'""")
 def _(t):
-    return sk.socket_flows(sk.infer_direction(sk.join_process(t.d_lsof, t.d_ps)))
+    return sk.socket_flows(sk.directed_sockets(t.d_lsof, t.d_ps))
 
 
 SERVICE_SQL = """
@@ -697,3 +696,55 @@ FROM svc s LEFT JOIN kids k USING (dt, server_ip, pid)"""
 def _(t):
     hosts = t.d_lsof.select("server_ip", F.col("server_ip").alias("host_ip")).distinct()
     return sk.service_inventory(t.d_lsof, t.d_ps, hosts)
+
+
+@query("filter_list_large", """
+WITH l AS (SELECT l_quantity, coalesce((l_orderkey, l_linenumber) IN (SELECT (l_orderkey, l_linenumber) FROM lineitem WHERE l_returnflag = 'R'), false)
+  OR l_linenumber = 1 OR l_linestatus = 'F' AS hit FROM lineitem)
+SELECT CASE WHEN hit THEN 'include' ELSE 'exclude' END AS mode, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS quantity FROM l GROUP BY 1""")
+def _(t):
+    """A list with a pattern for every order and every returned line, inside, at the start or at the end of the value, and one expression."""
+    line = F.concat("l_orderkey", F.lit("-"), "l_linenumber", F.lit("-"))
+    rows = t.lineitem.select(F.concat(F.lit("job-"), line, "l_linestatus").alias("job"), "l_quantity")
+    returned = t.lineitem.filter("l_returnflag = 'R'").select(F.concat(F.lit("-"), line).alias("pattern"))
+    firsts = t.lineitem.select(F.concat(F.lit("^job-"), "l_orderkey", F.lit("-1-")).alias("pattern"))
+    absent = t.lineitem.select(F.concat(F.lit("-none"), line, F.lit("$")).alias("pattern"))
+    one = t.spark.createDataFrame([("-(F|NONE)$",), (None,), ("",)], "pattern string")
+    patterns = returned.unionByName(firsts).unionByName(absent).unionByName(one)
+    return union_by_name([fl.filter_by_list(rows, "job", patterns, mode).agg(F.count("*").alias("n"), F.sum("l_quantity").cast("bigint").alias("quantity"))
+                          .withColumn("mode", F.lit(mode)) for mode in ("include", "exclude")])
+
+
+@query("project_pass_through", "SELECT * FROM customer")
+def _(t):
+    """An event type without a projection of its own is stored as it comes."""
+    return pj.project_event(t.customer, "inventory", [])
+
+
+CONNECTION_SQL = f"""SELECT * FROM (
+WITH RECURSIVE svc AS (SELECT dt, server_ip, pid, service FROM ({SERVICE_SQL}) x),
+par AS (SELECT dt, server_ip, pid, arg_max(ppid, command || '|' || ppid) AS ppid FROM d_ps GROUP BY ALL),
+up AS (SELECT dt, server_ip, pid, pid AS reached, 0 AS n FROM (SELECT dt, server_ip, pid FROM par UNION SELECT dt, server_ip, pid FROM svc) b
+  UNION ALL SELECT u.dt, u.server_ip, u.pid, p.ppid, n + 1 FROM up u JOIN par p ON p.dt = u.dt AND p.server_ip = u.server_ip AND p.pid = u.reached
+  WHERE n < 60 AND NOT EXISTS (SELECT 1 FROM svc s WHERE s.dt = u.dt AND s.server_ip = u.server_ip AND s.pid = u.reached)),
+owner AS (SELECT u.dt, u.server_ip, u.pid, s.service FROM up u JOIN svc s ON s.dt = u.dt AND s.server_ip = u.server_ip AND s.pid = u.reached),
+port AS (SELECT dt, server_ip, protocol, port, concat(command, '-', CAST(port AS VARCHAR), '_', protocol) AS service FROM (
+  SELECT dt, server_ip, lower(node) AS protocol, CAST(split_part(name, ':', 2) AS INTEGER) AS port, min(command) AS command
+  FROM d_lsof WHERE status = '(LISTEN)' GROUP BY ALL) q),
+ends AS (SELECT dt, server_ip, pid, lower(node) AS protocol, split_part(split_part(name, '->', 1), ':', 1) AS lip,
+    CAST(split_part(split_part(name, '->', 1), ':', 2) AS INTEGER) AS lport, split_part(split_part(name, '->', 2), ':', 1) AS fip,
+    CAST(split_part(split_part(name, '->', 2), ':', 2) AS INTEGER) AS fport FROM d_lsof WHERE strpos(name, '->') > 0),
+joined AS (SELECT e.*, l.service AS ls, CASE WHEN e.lip = e.fip THEN f.service END AS fs, o.service AS os FROM ends e
+  LEFT JOIN port l ON l.dt = e.dt AND l.server_ip = e.server_ip AND l.protocol = e.protocol AND l.port = e.lport AND e.lip = e.server_ip
+  LEFT JOIN port f ON f.dt = e.dt AND f.server_ip = e.server_ip AND f.protocol = e.protocol AND f.port = e.fport AND e.fip = e.server_ip
+  LEFT JOIN owner o ON o.dt = e.dt AND o.server_ip = e.server_ip AND o.pid = e.pid)
+SELECT dt, server_ip, CASE WHEN ls IS NULL THEN lip ELSE fip END AS from_ip, CASE WHEN ls IS NULL THEN fip ELSE lip END AS to_ip,
+  CASE WHEN ls IS NULL THEN fport ELSE lport END AS to_port, min(CASE WHEN ls IS NULL THEN fs ELSE ls END) AS to_service,
+  min(CASE WHEN ls IS NULL THEN os ELSE fs END) AS from_service
+FROM joined GROUP BY 1, 2, 3, 4, 5) z"""
+
+
+@query("service_connections", CONNECTION_SQL)
+def _(t):
+    hosts = t.d_lsof.select("server_ip", F.col("server_ip").alias("host_ip")).distinct()
+    return sk.service_connections(t.d_lsof, t.d_ps, hosts)

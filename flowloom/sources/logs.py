@@ -7,87 +7,72 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import normalize_date
 
-# The building blocks of the four line layouts, tried in this order.
-_HEAD = r"(\S+)\s(\d\d:\d\d:\d\d)\s\S+\s\(CONNECT_DATA="
-_SERVICE_FIRST = r".*(?:SID|SERVICE_NAME)=([^)]*)\).*PROGRAM=([^)]*)\).*HOST=([^)]*)\).*USER=([^)]*)\)"
-_SERVICE_LAST = r".*PROGRAM=([^)]*)\).*HOST=([^)]+)\).*USER=([^)]*)\).*(?:SID|SERVICE_NAME|sid)=([^)]+)\)"
-_ADDRESS = r".*\s.*HOST=([^)]*)\).*\(PORT=(\d*).*establish\s\S+\s(\S+)\s"
-_NO_ADDRESS = r".*\s.*establish\s\S+\s(\S+)\s"
-
-FIRST_ORDER = ["date", "time", "host_sid", "source_program", "source_host_name", "source_user"]
-LAST_ORDER = ["date", "time", "source_program", "source_host_name", "source_user", "host_sid"]
-WITH_ADDRESS = ["source_host_ip", "host_port", "host_instance"]
-# Without an address the last token of the line stands in its place; port and instance are unknown.
-LAYOUTS = [
-    (_HEAD + _SERVICE_FIRST + _ADDRESS, FIRST_ORDER + WITH_ADDRESS),
-    (_HEAD + _SERVICE_LAST + _ADDRESS.replace(r"(\d*)", r"(\d+)"), LAST_ORDER + WITH_ADDRESS),
-    (_HEAD + _SERVICE_LAST + _NO_ADDRESS, LAST_ORDER + ["source_host_ip"]),
-    (_HEAD + _SERVICE_FIRST + _NO_ADDRESS, FIRST_ORDER + ["source_host_ip"]),
-]
 FIELDS = ["date", "time", "host_sid", "source_program", "source_host_name", "source_host_ip", "source_user",
           "host_port", "host_instance"]
 AS_WRITTEN = {"date", "time"}
 
+# Fixed values of the log format: parts of a line are separated by a star, and a description is a list of (KEY=value).
+_BETWEEN_PARTS = r"\s\*\s"
+_STAMP = r"(\S+)\s(\d\d:\d\d:\d\d)$"
+_PAIR = r"([A-Za-z_]+)=(?!\()([^)]*)\)"
+_DESCRIPTION, _EVENT = "(CONNECT_DATA=", "establish"
+_SERVICE, _SERVICE_LAST = ["SID", "SERVICE_NAME"], ["SID", "SERVICE_NAME", "sid"]
+
 
 def candidate_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Lines that report an established connection."""
     return lines.filter(F.col(column).contains("CONNECT_DATA") & F.col(column).contains("establish"))
 
 
-_MARK = "\x01"  # stands between the captured parts
-
-
-def _after(line: Column, words: list[str], wanted: list[str]) -> Column:
-    """Whether one of ``wanted`` stands behind the first of one of ``words``: a cheap necessary test for a layout."""
-    test = F.lit(False)
-    for word in words:
-        rest = F.substr(line, F.locate(word, line))
-        for other in wanted:
-            test = test | ((F.locate(word, line) > 0) & rest.contains(other))
-    return test
-
-
-def _may_fit(line: Column, number: int) -> Column:
-    order = (_after(line, ["SID=", "SERVICE_NAME="], ["PROGRAM="]) if LAYOUTS[number][1][:6] == FIRST_ORDER
-             else _after(line, ["USER="], ["SID=", "SERVICE_NAME=", "sid="]))
-    return order & line.contains("(PORT=") if "host_port" in LAYOUTS[number][1] else order
+def _once(rows: DataFrame, value: Column, name: str) -> DataFrame:
+    """Add a column that is computed once, however many fields are taken from it."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
 
 
 def _with_parts(lines: DataFrame, column: str) -> DataFrame:
-    """Add ``_parts``: number and captured texts of the first layout that fits, NULL when none does.
+    """Add ``_found``: the fields of the line, NULL where it is no complete report of a connection.
 
-    One replacement per layout tells whether it fits and captures all its parts.
-    The one-element explode keeps the optimizer from repeating that work for
-    every field taken from the result.
+    The description names program, host and user of the client in this order, and the service before the program or, not empty, behind the user.
+    With the address of the client in a part of its own, the service before the program is preferred, without it the one behind the user, and
+    the instance, which is the part after the event, stands in the place of the address; port and instance are unknown then.
     """
-    rows = candidate_lines(lines, column).withColumn("_line", F.regexp_replace(column, "<txt>", ""))
-    tries = []
-    for number, (pattern, order) in enumerate(LAYOUTS):
-        joined = _MARK.join(["", str(number), *[f"${i + 1}" for i in range(len(order))], ""])
-        replaced = F.regexp_replace("_line", pattern + ".*", joined)
-        tries.append(F.split(F.when(_may_fit(F.col("_line"), number), replaced), _MARK))
-    first = F.get(F.filter(F.array(*tries), lambda parts: F.size(parts) > 1), F.lit(0))
-    return rows.select(*lines.columns, F.explode(F.array(first)).alias("_parts"))
+    rows = _once(candidate_lines(lines, column), F.split(F.regexp_replace(column, "<txt>", ""), _BETWEEN_PARTS), "_at")
+    at, text = F.col("_at"), F.get("_at", F.lit(1))
+    keys, values = (F.regexp_extract_all(text, F.lit(_PAIR), F.lit(i)) for i in (1, 2))
+    rows = _once(rows, F.struct(keys.alias("keys"), values.alias("values"), F.array_position(at, _EVENT).cast("int").alias("event")), "_said")
+    keys, values, event = F.col("_said.keys"), F.col("_said.values"), F.col("_said.event")
+    program, host, user = (F.array_position(keys, k).cast("int") for k in ("PROGRAM", "HOST", "USER"))
+    entries = F.transform(keys, lambda k, i: F.struct(k.alias("key"), F.get(values, i).alias("value"), (i + 1).alias("place")))
+    before = F.try_element_at(F.filter(entries, lambda e: e["key"].isin(_SERVICE) & (e["place"] < program)), F.lit(-1))["value"]
+    behind = F.try_element_at(F.filter(entries, lambda e: e["key"].isin(_SERVICE_LAST) & (e["place"] > user) & (e["value"] != "")), F.lit(-1))["value"]
+    behind = F.when(F.get(values, host - 1) != "", behind)
+    client = F.when(event == 4, F.get(at, F.lit(2)))
+    address, port = F.regexp_extract(client, r"HOST=([^)]*)\)", 1), F.regexp_extract(client, r"\(PORT=(\d*)", 1)
+    placed = client.rlike(r"HOST=[^)]*\).*\(PORT=")
+    instance = F.regexp_extract(F.get(at, event), r"^(\S+)", 1)
+    whole = (text.startswith(_DESCRIPTION) & F.get(at, F.lit(0)).rlike(_STAMP) & (program > 0) & (host > program) & (user > host)
+             & (event > 2) & (F.size(at) > event + 1) & (instance != ""))
+    with_address = F.coalesce(placed & (before.isNotNull() | (behind.isNotNull() & (port != ""))), F.lit(False))
+    service = F.when(with_address, F.coalesce(before, behind)).otherwise(F.coalesce(behind, before))
+    known = {
+        "date": F.regexp_extract(F.get(at, F.lit(0)), _STAMP, 1), "time": F.regexp_extract(F.get(at, F.lit(0)), _STAMP, 2), "host_sid": service,
+        "source_program": F.get(values, program - 1), "source_host_name": F.get(values, host - 1),
+        "source_host_ip": F.when(with_address, address).otherwise(instance), "source_user": F.get(values, user - 1),
+        "host_port": F.when(with_address, port).otherwise("unknown"), "host_instance": F.when(with_address, instance).otherwise("unknown"),
+    }
+    fields = F.struct(*[(known[f] if f in AS_WRITTEN else F.lower(known[f])).alias(f) for f in FIELDS])
+    return _once(rows, F.when(whole & service.isNotNull(), fields), "_found").select(*lines.columns, "_found")
 
 
 def parse_listener(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Fields of every line that one of the layouts fits; other columns are kept."""
-    found = _with_parts(lines, column).filter(F.col("_parts").isNotNull())
-    layout = F.get("_parts", F.lit(1))
-    values = {}
-    for field in FIELDS:
-        value = F.lit("unknown")
-        for number, (_, order) in enumerate(LAYOUTS):
-            if field in order:
-                value = F.when(layout == str(number), F.get("_parts", F.lit(order.index(field) + 2))).otherwise(value)
-        values[field] = value if field in AS_WRITTEN else F.lower(value)
-    kept = [c for c in lines.columns if c != column]
-    return found.select(*kept, *[values[f].alias(f) for f in FIELDS])
+    """Fields of every line that reports a connection completely; other columns are kept."""
+    found = _with_parts(lines, column).filter(F.col("_found").isNotNull())
+    return found.select(*[c for c in lines.columns if c != column], *[F.col(f"_found.{f}").alias(f) for f in FIELDS])
 
 
 def quarantine(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Connection lines that no layout fits."""
-    return _with_parts(lines, column).filter(F.col("_parts").isNull()).select(*lines.columns)
+    """Connection lines that are no complete report."""
+    return _with_parts(lines, column).filter(F.col("_found").isNull()).select(*lines.columns)
 
 
 def log_coverage(parsed: DataFrame, file_columns: list[str]) -> DataFrame:

@@ -141,10 +141,15 @@ def undersized_files(scan: DataFrame, smallest: int = SMALLEST_FILE) -> DataFram
     return scan.filter(~large_enough(smallest)).select(F.col("_metadata.file_path").alias("path")).distinct()
 
 
+def read_filter_table(spark: SparkSession, path: str) -> DataFrame:
+    """An uploaded application list of any size as a table, one column per header, for ``filters.filter_by_list``."""
+    return spark.read.options(header=True, sep=";").csv(path)
+
+
 def read_filter_list(spark: SparkSession, path: str, most_rows: int = 10_000) -> dict[str, list[str]]:
     """An uploaded application list: header → patterns. Without ``;`` in the header it is a single column.
 
-    The list becomes part of a filter expression, so it has to be short.
+    The list becomes part of a filter expression, so it has to be short; ``read_filter_table`` takes longer ones.
     """
     rows = spark.read.options(header=True, sep=";").csv(path).limit(most_rows + 1).collect()
     if len(rows) > most_rows:

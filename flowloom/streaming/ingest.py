@@ -6,11 +6,14 @@ The ledger stays the reference answer: arrival order is not file order, so
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators import ledger as lg
-from flowloom.session import work_path
+from flowloom.session import cut_lineage, work_path
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
 
@@ -54,6 +57,43 @@ def daily_totals(stream: DataFrame, event_time: str, keys: list[str], sums: dict
             .select(F.col("w.start").cast("date").alias("dt"), *keys, "n", *sums))
 
 
+def first_arrivals(stream: DataFrame, path: str, keys: list[str], day: str, checkpoint: str):
+    """Store the first arrival of each key in a table partitioned by ``day``, one of the keys (a day or a month), until all arrived files are taken.
+
+    No state is kept between batches: the keys of a batch are compared with the stored ones of the same days, whose partitions alone are
+    read. So a re-delivery is found however late it comes, and a batch that is replayed adds nothing. Of equal keys in one batch
+    the row with the least other columns counts; nulls in keys are values like any other.
+    """
+    spark = stream.sparkSession
+    others = [c for c in stream.columns if c not in keys]
+
+    def store(batch: DataFrame, _: int) -> None:
+        once = batch.groupBy(*keys).agg(F.min(F.struct(*others)).alias("_rest")).select(*keys, "_rest.*") if others else batch.distinct()
+        rows = cut_lineage(once.select(*batch.columns), "batch")
+        days = [r[day] for r in rows.select(day).distinct().collect()]  # calendar days
+        stored = rd.read_or_empty(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields))
+        known = stored.filter(F.col(day).isin([d for d in days if d is not None]) | F.col(day).isNull()).select(*[F.col(k).alias(f"_{k}") for k in keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        fresh = cut_lineage(rows.join(known, same, "left_anti"), "fresh")
+        if not fresh.isEmpty():
+            fresh.hint("rebalance", day).write.mode("append").partitionBy(day).parquet(path)
+
+    return (stream.writeStream.foreachBatch(store).trigger(availableNow=True).option("checkpointLocation", checkpoint).start())
+
+
+def open_days_to_table(totals: DataFrame, path: str, keys: list[str], checkpoint: str, day: str = "dt"):
+    """Keep a table of ``daily_totals`` up to date, open days included, until all arrived files are taken.
+
+    A batch brings only the groups that it changed, and only the partitions of their days are replaced; days that the watermark has passed leave
+    the state and stay as they are. The table is partitioned by ``day``.
+    """
+
+    def merge(batch: DataFrame, _: int) -> None:
+        sn.write_units(cut_lineage(batch, "batch"), path, [day, *keys], [day], staged=True)
+
+    return (totals.writeStream.outputMode("update").trigger(availableNow=True).option("checkpointLocation", checkpoint).foreachBatch(merge).start())
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append"):
     """Write a stream to a Parquet folder until all arrived files are taken.
 
