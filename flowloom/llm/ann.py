@@ -9,6 +9,7 @@ k-th one found would lie nearer than the next leaf with probability ``CERTAINTY`
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -133,15 +134,24 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "
 
     Every usable row is indexed; see ``usable`` for those that take no part, as candidates and as queries. Of equal vectors only
     the k + 1 smallest ids can be among the k nearest, so only these are dealt out. A query's own id is no candidate. Ties go to the smaller id,
-    repeated rows of one id and vector count once. Fewer candidates: all of them. Vectors of other lengths than a query's are
-    an error. Queries meet all index blocks, in blocks of ``query_rows``. Other columns are ignored.
+    repeated rows of one id and vector count once. Fewer candidates: all of them. A query meets the vectors of its own length; every
+    length is searched on its own. Queries meet all index blocks, in blocks of ``query_rows``. Other columns are ignored.
     """
     if dimensions % 2:
         raise ValueError("the test needs an even number of dimensions")
-    rows = usable(vectors, vec_id, vec)
+    rows, asked = usable(vectors, vec_id, vec), usable(queries, vec_id, vec)
+    lengths = sorted(r["d"] for r in asked.select(F.size("vec").alias("d")).distinct().collect())  # one, unless the data are mixed
+    if len(lengths) < 2:
+        parts = [(rows.filter(F.size("vec") == lengths[0]), asked)] if lengths else [(rows, asked)]
+    else:
+        parts = [(rows.filter(F.size("vec") == d), asked.filter(F.size("vec") == d)) for d in lengths]
+    return reduce(DataFrame.unionByName, [_nearest(*part, k, dimensions, certainty, leaf, index_rows, query_rows) for part in parts])
+
+
+def _nearest(rows: DataFrame, asked: DataFrame, k: int, dimensions: int, certainty: float, leaf: int, index_rows: int, query_rows: int) -> DataFrame:
+    """``nearest`` for usable vectors of one length."""
     same = Window.partitionBy("vec").orderBy("vec_id")
     rows = rows.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1).drop("copy")
-    asked = usable(queries, vec_id, vec)
     size = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x))
     seen = rows.agg(F.count("*").alias("n"), F.max(size).alias("top")).first()
     blocks, groups = max(1, math.ceil(seen["n"] / index_rows)), max(1, math.ceil(asked.count() / query_rows))

@@ -248,6 +248,16 @@ def test_nearest(spark, count):
     assert nearest(vectors.limit(0), vectors, index_rows=250).collect() == []
 
 
+def test_nearest_within_one_length(spark):
+    """Vectors of two lengths in one table: each query meets those of its own length."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(size=6 if i % 3 else 4)]) for i in range(120)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id) for r in nearest(vectors, vectors.filter("vec_id % 20 = 0"), k=5).collect())
+    want = [x[:3] for d in (4, 6) for x in plain_nearest([r for r in rows if len(r[1]) == d], 5)]
+    assert got == sorted(want) and nearest(vectors.filter("vec_id = 1"), vectors.filter("vec_id = 0"), k=5).collect() == []
+
+
 def test_nearest_recall_on_given_vectors(spark):
     got = {(r.query_id, r.vec_id) for r in QUERIES["op4_nearest"](spark, "/root/testdata/sf0.1").collect()}
     pdf = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas().sort_values("vec_id")
