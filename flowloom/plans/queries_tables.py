@@ -746,5 +746,6 @@ FROM joined GROUP BY 1, 2, 3, 4, 5) z"""
 
 @query("service_connections", CONNECTION_SQL)
 def _(t):
-    hosts = t.d_lsof.select("server_ip", F.col("server_ip").alias("host_ip")).distinct()
-    return sk.service_connections(t.d_lsof, t.d_ps, hosts)
+    sockets = t.stored("d_lsof")
+    hosts = sockets.select("server_ip", F.col("server_ip").alias("host_ip")).distinct()
+    return sk.service_connections(sockets, t.stored("d_ps"), hosts)
