@@ -120,3 +120,17 @@ def test_kmeans_separates_groups(spark):
 def test_large_graphs_are_refused(spark, monkeypatch):
     with pytest.raises(ValueError):
         cl.markov_clusters(frame(spark, [("a", "b", 1.0), ("b", "c", 1.0)]), max_nodes=2)
+
+
+def test_markov_clusters_of_many_sites(spark):
+    """More sites than a column may have entries: planted groups are found, and no column of the matrix is longer than the bound."""
+    groups, size = 60, 6
+    inner = [(f"g{g:03}s{a}", f"g{g:03}s{b}", 10.0) for g in range(groups) for a in range(size) for b in range(size) if a < b]
+    outer = [(f"g{g:03}s0", f"g{(g + 1) % groups:03}s0", 0.05) for g in range(groups)]
+    edges = spark.createDataFrame(inner + outer, [mx.SRC, mx.DST, mx.TRAFFIC])
+    found = {r.Site: r.Cluster for r in cl.markov_clusters(edges, entries=25).collect()}
+    assert len(found) == groups * size and len(set(found.values())) == groups
+    assert all(found[f"g{g:03}s{a}"] == found[f"g{g:03}s0"] for g in range(groups) for a in range(size))
+    cells = spark.createDataFrame([(str(i), str(j), float(i)) for i in range(40) for j in range(3)], "i string, j string, w double")
+    product = cl._power(cells, 2, 7)
+    assert {r.n for r in product.groupBy("j").count().withColumnRenamed("count", "n").collect()} == {7}
