@@ -189,6 +189,14 @@ def flow_detail_sets(device: DataFrame, server: DataFrame, sockets: DataFrame) -
     return with_users.unionByName(counted)
 
 
+def flow_rows(device: DataFrame, server: DataFrame, sockets: DataFrame) -> DataFrame:
+    """The rows that ``flow_detail_sets`` sums up, as they are: enough for ``flow_parts``, which sums up anyway."""
+    both = [_role({**_server_side("dest"), **_remote_side("source")}, "client"),
+            _role({**_server_side("source"), **_remote_side("dest")}, "server")]
+    servers = _roles(server, "nxserver", both).unionByName(_roles(sockets, "linuxserver", both))
+    return _device_roles(device, "users").withColumnRenamed("users", "client_users").unionByName(servers, allowMissingColumns=True)
+
+
 ADDRESS, PROGRAM, USERS = 0, 1, 2  # what a part counts
 
 
@@ -227,7 +235,7 @@ def count_parts(parts: DataFrame, by_month: bool) -> DataFrame:
 
 
 def flow_summary(detail: DataFrame, by_month: bool) -> DataFrame:
-    """Flows per month or over all time, with distinct remote addresses, programs and users, from ``flow_detail_sets``."""
+    """Flows per month or over all time, with distinct remote addresses, programs and users, from ``flow_rows`` or ``flow_detail_sets``."""
     return count_parts(flow_parts(detail, ["month"] if by_month else []), by_month)
 
 

@@ -32,8 +32,9 @@ def device_day(t):
 
 
 def user_dictionary(t):
-    """Numbers of all users, as the jobs keep them."""
-    return cut_lineage(usersets.number_names(t.d_flows, "I_ID_U"), "users")
+    """Numbers of all users, as the jobs keep them; the flows have the customers of the orders as users."""
+    users = t.orders.select(F.concat(F.lit("U"), F.col("o_custkey").cast("string")).alias("I_ID_U"))
+    return cut_lineage(usersets.number_names(users, "I_ID_U"), "users")
 
 
 def device_day_sets(t, dictionary=None):
@@ -122,18 +123,18 @@ SELECT d.*, CAST(coalesce(u.n, 0) AS INTEGER) AS distinct_client_user FROM (
 LEFT JOIN u ON {' AND '.join(f'd.{k} IS NOT DISTINCT FROM u.{k}' for k in keys.split(', '))}"""
 
 
-def flow_detail_sets(t):
-    return ag.flow_detail_sets(device_day_sets(t), server_day(t), socket_day(t))
+def flow_rows(t):
+    return ag.flow_rows(device_day_sets(t), server_day(t), socket_day(t))
 
 
 @query("flow_month", _summary_sql("month, "))
 def _(t):
-    return ag.flow_summary(flow_detail_sets(t), by_month=True)
+    return ag.flow_summary(flow_rows(t), by_month=True)
 
 
 @query("flow_total", _summary_sql(""))
 def _(t):
-    return ag.flow_summary(flow_detail_sets(t), by_month=False)
+    return ag.flow_summary(flow_rows(t), by_month=False)
 
 
 @query("user_sets", DEVICE_DAY_SQL)
