@@ -118,13 +118,14 @@ def resolve_connections(connections: DataFrame, webrequests: DataFrame, ranges:
 
 
 def resolve(spark: SparkSession, ctx: JobContext, ranges: DataFrame, identities: DataFrame, assets: DataFrame,
-            first: str | None = None, last: str | None = None) -> None:
-    """Resolve the encoded connections whose web requests have arrived too."""
+            first: str | None = None, last: str | None = None) -> DataFrame:
+    """Resolve the encoded connections whose web requests have arrived too; returns all that is stored, which may be nothing yet."""
     units = cut_lineage(_window(lg.pending_connections(event_ledger(spark, ctx)), first, last), "units")
     connections = _stored_rows(spark, ctx, "connection", units)
     webrequests = _stored_rows(spark, ctx, "webrequest", units)
     rows = resolve_connections(connections, webrequests, ranges, identities, assets)
     _store(rows, ctx, "resolved", lg.UNIT, _recorded(units, lg.RESOLVE), "meta")
+    return sn.read_stored(rows, ctx.path("resolved"))
 
 
 def resolve_execution_rows(executions: DataFrame, ranges: DataFrame, identities: DataFrame, assets: DataFrame) -> DataFrame:
@@ -133,11 +134,13 @@ def resolve_execution_rows(executions: DataFrame, ranges: DataFrame, identities:
 
 
 def resolve_executions(spark: SparkSession, ctx: JobContext, ranges: DataFrame, identities: DataFrame, assets: DataFrame,
-                       first: str | None = None, last: str | None = None) -> None:
+                       first: str | None = None, last: str | None = None) -> DataFrame:
+    """Resolve the encoded executions; returns all that is stored."""
     units = cut_lineage(_window(lg.pending_executions(event_ledger(spark, ctx)), first, last), "units")
     executions = _stored_rows(spark, ctx, "execution", units)
     rows = resolve_execution_rows(executions, ranges, identities, assets)
     _store(rows, ctx, "resolved_execution", lg.UNIT, _recorded(units, lg.RESOLVE_EXECUTION), "meta")
+    return sn.read_stored(rows, ctx.path("resolved_execution"))
 
 
 def known_users(spark: SparkSession, ctx: JobContext) -> DataFrame:
@@ -160,6 +163,8 @@ def daily_devices(spark: SparkSession, ctx: JobContext) -> DataFrame:
 def aggregate(spark: SparkSession, ctx: JobContext, first: str | None = None, last: str | None = None) -> None:
     """Daily aggregates of the resolved connections."""
     units = cut_lineage(_window(lg.pending_aggregates(event_ledger(spark, ctx)), first, last), "units")
+    if units.isEmpty():  # the folder of resolved rows may hold no file yet
+        return
     rows = _stored_rows(spark, ctx, "resolved", units)
     devices = rows.filter(F.col("collecttype") == "device")
     server = ag.agg_server_day(rows.filter(F.col("collecttype") == "server"))

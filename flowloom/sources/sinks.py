@@ -50,6 +50,11 @@ def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str
     write_partitioned(rows.unionByName(others.select(*rows.columns)), path, partitions)
 
 
+def read_stored(like: DataFrame, path: str) -> DataFrame:
+    """The table stored at ``path`` in the layout of ``like``; a folder without files, where nothing was to be stored yet, is an empty table."""
+    return read_or_empty(like.sparkSession, path, _ddl(like))
+
+
 def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 
