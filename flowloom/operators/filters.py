@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowloom.functions import is_internal_ip
-from flowloom.operators.joining import anti_join, lookup_join, semi_join
+from flowloom.operators.joining import anti_join, broadcast_limit, lookup_join, measured_bytes, semi_join
 from flowloom.session import cut_lineage
 
 EXCLUDED_STATUS = ["Disposed", "Standby", "Stock", "Disposal"]  # fixed values
@@ -221,11 +221,30 @@ MOST_EXPRESSIONS = 1000
 _SPECIAL = r"[\\.^$|?*+()\[\]{}]"  # a pattern without these is plain text, but for ^ at its start and $ at its end
 
 
+def _shape() -> list[Column]:
+    body = F.col("_body")
+    return [F.length(body).alias("_n"), F.substring(body, 1, 2).alias("_head"), F.right(body, F.lit(2)).alias("_tail")]
+
+
+def _with_shape_of(pieces: DataFrame, plain: DataFrame) -> DataFrame:
+    """Pieces that have the place, length, first and last two characters of some pattern; all others match none and are not shuffled.
+
+    The shapes are far fewer than the patterns. If they are too many to be broadcast, all pieces stay.
+    """
+    shapes = cut_lineage(plain.select(*[c.alias(f"_s{i}") for i, c in enumerate(_shape())], F.col("_first").alias("_sf"), F.col("_last").alias("_sl")).distinct(), "shapes")
+    if measured_bytes(shapes) > broadcast_limit(pieces.sparkSession):
+        return pieces
+    n, head, tail = _shape()
+    like = (n == F.col("_s0")) & (head == F.col("_s1")) & (tail == F.col("_s2"))
+    placed = (~F.col("_sf") | F.col("_begins")) & (~F.col("_sl") | F.col("_ends"))
+    return pieces.join(F.broadcast(shapes), like & placed, "left_semi")
+
+
 def values_in_list(values: DataFrame, column: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
     """Distinct values of ``column`` that hold one of the patterns; the list may be of any size and stays a table.
 
     Plain patterns, which may be anchored by ^ and $, meet the pieces of the values that are as long as one of them in an equality join: a value of n characters
-    has at most n pieces for each length that occurs. Other patterns are regular expressions, tested on the distinct values as one
+    has at most n pieces for each length that occurs, and only those of the shape of a pattern are shuffled. Other patterns are regular expressions, tested on the distinct values as one
     expression. They become part of the plan, so there may be ``MOST_EXPRESSIONS`` of them. Null and empty patterns match nothing.
     """
     texts = patterns.select(F.col(pattern).alias("_p")).filter(F.coalesce(F.col("_p"), F.lit("")) != "").distinct()
@@ -237,7 +256,9 @@ def values_in_list(values: DataFrame, column: str, patterns: DataFrame, pattern:
     distinct = cut_lineage(values.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull()).distinct(), "values")
     sizes = distinct.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"))).filter(F.col("_n") <= F.length("_value"))
     pieces = sizes.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_value") - F.col("_n") + 1))).withColumn("_body", F.substring("_value", F.col("_at"), F.col("_n")))
-    placed = (~F.col("_first") | (F.col("_at") == 1)) & (~F.col("_last") | (F.col("_at") + F.col("_n") - 1 == F.length("_value")))
+    pieces = pieces.select("_value", "_body", (F.col("_at") == 1).alias("_begins"), (F.col("_at") + F.col("_n") - 1 == F.length("_value")).alias("_ends"))
+    pieces = _with_shape_of(pieces, plain)
+    placed = (~F.col("_first") | F.col("_begins")) & (~F.col("_last") | F.col("_ends"))
     hits = lookup_join(pieces, plain, "_body", "inner").filter(placed).select("_value")
     rest = [r["_p"] for r in split.filter("not _plain").select("_p").limit(MOST_EXPRESSIONS + 1).collect()]
     if len(rest) > MOST_EXPRESSIONS:
