@@ -57,7 +57,7 @@ def test_sets_take_one_shuffle_and_partitions_few_files(spark, rows, tmp_path):
     path = str(tmp_path / "daily")
     sn.write_units(stored, path, ["dt", "engine"], ["month", "dt"])
     files = [sum(f.startswith("part-") for f in names) for _, _, names in os.walk(path)]
-    assert max(files) <= 16 and sum(n > 0 for n in files) == 4
+    assert max(files) <= 4 and sum(n > 0 for n in files) == 4
     back = spark.read.parquet(path)
     assert PLACE not in back.columns
     named = us.with_names(back.withColumn("month", F.col("month").cast("string")), "users", dictionary, "I_ID_U")
