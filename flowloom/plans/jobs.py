@@ -434,13 +434,14 @@ def ingest_listener(spark: SparkSession, ctx: JobContext, paths: list[str], inte
     stamps = spark.read.format("binaryFile").load(paths).groupBy(name_of(F.col("path")).alias("source_filename")).agg(
         F.max(F.col("modificationTime").cast("date")).alias("source_filedate"))
     files = cut_lineage(stamps.join(logs.file_dates(lines, "source_filename", "place"), "source_filename", "left"), "log-files")
-    plain, keys = lines.drop("place"), ["integration_date", "source_filename"]
+    # The patterns run once over the lines; both tables are taken from what they found.
+    read, keys = cut_lineage(logs.read_lines(lines.drop("place")), "read-lines"), ["integration_date", "source_filename"]
     stamped = F.lit(integration_date).cast("date")
-    rows = lookup_join(logs.parse_listener(plain), files, ["source_filename"]).withColumns(
+    rows = lookup_join(logs.parsed_lines(read), files, ["source_filename"]).withColumns(
         {"host_name": F.lower(F.get(F.split("source_filename", "_"), F.lit(1))), "integration_date": stamped})
     rows = cut_lineage(rows.select(*LISTENER_COLUMNS), "listener")
     sn.write_units(rows, ctx.path("listener"), keys, keys, staged=True)
-    sn.write_units(logs.quarantine(plain).withColumn("integration_date", stamped), ctx.path("listener_trash"), keys, keys)
+    sn.write_units(logs.broken_lines(read).withColumn("integration_date", stamped), ctx.path("listener_trash"), keys, keys, staged=True)
     sn.write_units(logs.log_coverage(rows, LISTENER_COLUMNS[10:]), ctx.path("listener_report"), keys, keys)
 
 

@@ -17,7 +17,7 @@ from flowloom.operators.joining import union_by_name
 from flowloom.plans import jobs
 from flowloom.plans.queries_tables import PENDING_SQL, SERVER_ENGINES
 from flowloom.plans.registry import query
-from flowloom.session import work_path
+from flowloom.session import cut_lineage, work_path
 from flowloom.sources import logs
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
@@ -292,6 +292,7 @@ def ingested_logs(t):
     """The lines dealt to the logs of three hosts and taken in twice, which changes nothing."""
     spark, ctx = t.spark, jobs.scratch(t.spark, "listener")
     lines = listener_lines(t).join(t.orders.select("o_orderkey", "o_custkey"), "o_orderkey")
+    lines = cut_lineage(lines.select("value", "o_orderkey", "o_custkey"), "lines")
     paths = [work_path(spark, f"logs/listener_Host{i}_a") for i in range(3)]
     for i, path in enumerate(paths):
         lines.filter(F.col("o_custkey") % 3 == i).orderBy("o_orderkey").select("value").write.text(path)

@@ -66,13 +66,27 @@ def _with_parts(lines: DataFrame, column: str) -> DataFrame:
 
 def parse_listener(lines: DataFrame, column: str = "value") -> DataFrame:
     """Fields of every line that reports a connection completely; other columns are kept."""
-    found = _with_parts(lines, column).filter(F.col("_found").isNotNull())
-    return found.select(*[c for c in lines.columns if c != column], *[F.col(f"_found.{f}").alias(f) for f in FIELDS])
+    return parsed_lines(read_lines(lines, column), column)
 
 
 def quarantine(lines: DataFrame, column: str = "value") -> DataFrame:
     """Connection lines that are no complete report."""
-    return _with_parts(lines, column).filter(F.col("_found").isNull()).select(*lines.columns)
+    return broken_lines(read_lines(lines, column))
+
+
+def read_lines(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Connection lines with their fields in ``_found``, which both tables of a log are made of; the text is kept where no layout fits."""
+    found = _with_parts(lines, column)
+    return found.withColumn(column, F.when(F.col("_found").isNull(), F.col(column)))
+
+
+def parsed_lines(read: DataFrame, column: str = "value") -> DataFrame:
+    found = read.filter(F.col("_found").isNotNull())
+    return found.select(*[c for c in read.columns if c not in (column, "_found")], *[F.col(f"_found.{f}").alias(f) for f in FIELDS])
+
+
+def broken_lines(read: DataFrame) -> DataFrame:
+    return read.filter(F.col("_found").isNull()).drop("_found")
 
 
 def log_coverage(parsed: DataFrame, file_columns: list[str]) -> DataFrame:
