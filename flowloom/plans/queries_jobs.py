@@ -407,7 +407,8 @@ UNION ALL SELECT DISTINCT 'entry', NULL, lower(c_name), sha256(concat('{KEY}:',
 UNION ALL SELECT DISTINCT 'entry', NULL, lower(NX_device_name), sha256(concat('{KEY}:', lower(NX_device_name))), NULL FROM ({FEED_SQL}) f""")
 def _(t):
     spark, ctx = t.spark, jobs.scratch(t.spark, "pseudonyms", key=KEY, **OPTIONS)
-    rows, entries = jobs.pseudonymize_feed(t.sql(FEED_SQL).drop("o_custkey"), "connection", dictionary(t), ctx)
+    feed = cut_lineage(t.sql(FEED_SQL).drop("o_custkey"), "feed")
+    rows, entries = jobs.pseudonymize_feed(feed, "connection", dictionary(t), ctx)
     for _ in range(2):  # the same entries again change nothing
         jobs.store_dictionary(spark, ctx, entries)
     stored = spark.read.parquet(ctx.path("dictionary"))
