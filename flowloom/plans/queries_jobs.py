@@ -418,9 +418,9 @@ def _(t):
                       F.col("I_ID").alias("I_ID_U"), none.alias("I_ID_D")))
 
 
-def _raw_feed(t, kind: str) -> str:
+def _raw_feed(rows, kind: str) -> str:
     """A raw feed as the collectors deliver it; returns its folder."""
-    rows, path = t.sql(FEED_SQL), work_path(t.spark, f"{kind}_e1_20160501")
+    path = work_path(rows.sparkSession, f"{kind}_e1_20160501")
     user, device, other = F.col("NX_user_name"), F.col("NX_device_name"), F.lit("x")
     if kind == "listener":
         named = {"source_user": user, "source_host_name": device}
@@ -444,9 +444,9 @@ def _(t):
     """All other feeds from their raw files, with one dictionary that grows from feed to feed."""
     spark, ctx = t.spark, jobs.scratch(t.spark, "feeds", key=KEY, **OPTIONS)
     jobs.store_dictionary(spark, ctx, dictionary(t).select("name", "I_ID"))
-    frames = []
+    delivered, frames = cut_lineage(t.sql(FEED_SQL).select("NX_user_name", "NX_device_name"), "delivered"), []
     for kind, users in FEEDS.items():
-        feed = jobs.read_feed(spark, _raw_feed(t, kind), kind)
+        feed = jobs.read_feed(spark, _raw_feed(delivered, kind), kind)
         rows, entries = jobs.pseudonymize_feed(feed, kind, cut_lineage(spark.read.parquet(ctx.path("dictionary")), "dictionary"), ctx)
         jobs.store_dictionary(spark, ctx, entries)
         user = F.col("I_ID_U") if users else F.lit(None).cast("string")
