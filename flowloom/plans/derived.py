@@ -352,6 +352,18 @@ JOIN customer c ON o.o_custkey = c.c_custkey
 """, """JOIN (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey) o ON l.l_orderkey = o.o_orderkey
 """).replace("c.c_", "o.c_")}
 
+
+def _by_month() -> str:
+    """``d_flows`` with the rows of a month brought together before the texts are made, while the rows are still narrow."""
+    made, joined = SPARK_FORM["d_flows"].split("FROM lineitem l", 1)
+    bare = re.sub(r"\b[losp]\.(?=[locsp]_)", "", made)
+    used = ", ".join(sorted(set(re.findall(r"\b[locsp]_[a-z]+\b", bare))))
+    month = "substr(CAST(CAST(l_shipdate AS DATE) AS STRING), 1, 7) AS l_month"
+    return f"{bare}FROM (SELECT /*+ REBALANCE(l_month) */ * FROM (SELECT {used}, {month} FROM lineitem l{joined}) y) x"
+
+
+FLOWS_BY_MONTH = _by_month()
+
 _NAME = re.compile(r"\b(FROM|JOIN)\s+([a-z_]+)\b", re.IGNORECASE)
 
 
@@ -381,12 +393,20 @@ class Inputs:
         return self._frames[name]
 
     def stored(self, name: str) -> DataFrame:
-        """A derived table written once, for inputs that are stored tables in practice, such as the ledger."""
+        """A derived table written once, for inputs that are stored tables in practice, such as the ledger. Later uses of it read the copy."""
         key = f"stored {name}"
         if key not in self._frames:
-            self._frames[key] = cut_lineage(getattr(self, name), name)
+            self._frames[key] = self._frames[name] = cut_lineage(getattr(self, name), name)
         return self._frames[key]
 
+    def flows_by_month(self, written: bool = True, without: tuple[str, ...] = ()) -> None:
+        """From now on the rows of a month stand together in the flows, as in extracts that come by day.
+
+        ``written``: for a query that reads the flows several times they are joined once and stored, ``without`` the columns it never reads.
+        """
+        flows = self.sql(FLOWS_BY_MONTH).drop(*without)
+        self._frames["d_flows"] = cut_lineage(flows, "d_flows") if written else flows
+
     def sql(self, text: str) -> DataFrame:
         frames = {n: getattr(self, n) for n in names_in(text)}
         marked = _NAME.sub(lambda m: f"{m.group(1)} {{{m.group(2)}}}" if m.group(2) in frames else m.group(0), text)

@@ -22,6 +22,7 @@ from flowloom.sources import sinks as sn
 
 OPTIONS = {"server_engines": tuple(SERVER_ENGINES), "partitions": ("month",)}
 UNIT = "collecttype, engine, dt, filedt"
+NO_EXTRACT = ("c_mktsegment", "c_nationkey", "s_nationkey", "l_suppkey", "l_orderkey", "o_custkey", "o_orderpriority")  # columns of the flows that no extract has
 
 
 def _units_of(spark, ctx, filetype: str):
@@ -38,6 +39,7 @@ SELECT 'connection' AS filetype, *, CAST(1 AS BIGINT) AS recorded FROM whole UNI
 UNION ALL SELECT 'webrequest', {UNIT}, count(*), 1 FROM d_webrequest GROUP BY ALL""")
 def _(t):
     ctx = jobs.scratch(t.spark, "encode", **OPTIONS)
+    t.flows_by_month(without=NO_EXTRACT)
     inputs = {"connection": t.d_raw_connection, "webrequest": t.d_raw_webrequest, "execution": t.d_raw_execution.drop("l_returnflag")}
     jobs.encode(t.spark, ctx, inputs)
     jobs.encode(t.spark, ctx, {"connection": t.d_raw_connection})  # the same delivery again changes nothing

@@ -55,5 +55,5 @@ def cut_lineage(df, label: str = "cut"):
     """Write ``df`` to the shared folder and read it back, so a lost executor costs no recomputation."""
     spark = df.sparkSession
     path = work_path(spark, label)
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

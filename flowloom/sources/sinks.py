@@ -10,23 +10,41 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowloom.operators.joining import PLACE, anti_join, place_of, semi_join, union_by_name
+from flowloom.operators.joining import PARTITION_TASKS, PLACE, anti_join, place_of, semi_join, union_by_name
 from flowloom.session import cut_lineage, work_path
 from flowloom.sources.readers import read_or_empty
 
 FILE_ROWS = 1_000_000
+SORTED_BYTES = 32 << 20  # of a written table, read by a task that stores it by partition
 
 
-def write_partitioned(df: DataFrame, path: str, partitions: list[str]) -> None:
+def lie_together(written: DataFrame, partitions: list[str]) -> bool:
+    """Whether the files of a written table hold few partitions each: a partition would get at most ``PARTITION_TASKS`` files and one
+    more for every ``FILE_ROWS`` rows, if the rows were stored from where they are. Counted in one pass over the partition columns."""
+    pairs = written.groupBy(F.col("_metadata.file_path").alias("_file"), *partitions).agg(F.count("*").alias("n"))
+    each = pairs.groupBy(*partitions).agg(F.count("*").alias("files"), F.sum("n").alias("n"))
+    few = F.col("files") <= PARTITION_TASKS + F.col("n") / FILE_ROWS
+    return each.filter(~few).isEmpty()
+
+
+def write_partitioned(df: DataFrame, path: str, partitions: list[str], together: bool = False) -> None:
     """Replace the partitions ``df`` touches and leave the others alone.
 
     The rebalance hint gives each partition few files and splits a partition
     that holds a large share of the rows. Rows that are placed by
-    ``partition_places`` have few files per partition as they are.
+    ``partition_places``, or that lie ``together`` in their files, have few
+    files per partition as they are.
     """
-    rows = df.drop(PLACE) if place_of(df) else df.hint("rebalance", *partitions)
-    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(*partitions).parquet(path))
+    rows = df.drop(PLACE) if together or place_of(df) else df.hint("rebalance", *partitions)
+    conf, setting = df.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
+    before = conf.get(setting)
+    try:
+        if together:  # the writer sorts the rows of a task by partition, so a task takes few of them
+            conf.set(setting, str(SORTED_BYTES))
+        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partitions).parquet(path))
+    finally:
+        conf.set(setting, before)
 
 
 def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str], staged: bool = False) -> None:
@@ -35,10 +53,12 @@ def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str
     Partitions that already hold other units keep them: their rows are carried
     over before the touched partitions are replaced. ``df`` is computed once:
     the first write goes straight to the folder, a later one through a written
-    copy, unless ``staged`` says that ``df`` is a written table already.
+    copy, unless ``staged`` says that ``df`` is a written table already, or
+    columns of one. Rows of a written table that lie together by partition are
+    not shuffled.
     """
     if not _exists(df.sparkSession, path):
-        write_partitioned(df, path, partitions)
+        write_partitioned(df, path, partitions, staged and lie_together(df, partitions))
         return
     df = df.drop(PLACE)
     stored = read_or_empty(df.sparkSession, path, _ddl(df))
@@ -50,6 +70,9 @@ def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str
         if ends[f"min_{c}"] is not None:
             stored = stored.filter(F.col(c).between(F.lit(ends[f"min_{c}"]), F.lit(ends[f"max_{c}"])) | F.col(c).isNull())
     others = anti_join(semi_join(stored, touched, partitions), written.select(*units).distinct(), units)
+    if others.agg(F.count("*").alias("n")).first()["n"] == 0:  # whole partitions are replaced
+        write_partitioned(rows, path, partitions, lie_together(rows, partitions))
+        return
     write_partitioned(rows.unionByName(others.select(*rows.columns)), path, partitions)
 
 
