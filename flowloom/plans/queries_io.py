@@ -425,6 +425,7 @@ def _(t):
 def _(t):
     spark = t.spark
     source, target, ledger = (work_path(spark, n) for n in ("arrived", "stored", "meta"))
+    t.flows_by_month(written=False)
     rows = t.d_raw_connection
     rows.write.parquet(source)
     checkpoint = work_path(spark, "checkpoint")

@@ -34,7 +34,7 @@ def ingest(spark: SparkSession, source: str, schema, target: str, ledger: str, f
         path = work_path(spark, "batch")
         fresh.write.parquet(path)
         written = spark.read.schema(fresh.schema).parquet(path)
-        sn.write_units(written, target, [*lg.UNIT, "filedt"], list(partitions))
+        sn.write_units(written, target, [*lg.UNIT, "filedt"], list(partitions), staged=True)
         sn.append_ledger(lg.ledger_entries(written, filetype, lg.ENCODE), ledger)
 
     return (incoming.writeStream.foreachBatch(store).trigger(availableNow=True)
