@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from flowloom.functions import list_items
 from flowloom.operators import usersets as us
 from flowloom.operators.filters import closed_only
-from flowloom.operators.joining import PLACE, place_of, placed, semi_join
+from flowloom.operators.joining import PLACE, place_of, placed, semi_join, union_by_name
 
 AIP_AGG = [
     "aip_app_name", "aip_server_function", "aip_server_subfunction", "aip_app_criticality", "aip_app_type",
@@ -53,10 +53,32 @@ def cube_keys(collecttype: str, level: str, resolution: str = "IDM") -> list[str
     return [*first, *APP, *SOURCE_AIP, *ends, *DEST_AIP]
 
 
-def agg_server_day(resolved: DataFrame, ignore_unknown_duration: bool = False) -> DataFrame:
-    """Daily server flows. ``ignore_unknown_duration`` leaves the -1 placeholder out of the mean. Placed rows stay placed."""
+REST = "_rest"
+
+
+def hashed_rest(rows: DataFrame, keys: list[str], shown: list[str] | None) -> tuple[DataFrame, list[str]]:
+    """``rows`` with those of the ``keys`` that are not ``shown`` as one hash, and what to group by instead of ``keys``.
+
+    The groups are the same (two of N share a hash of 64 bits with a chance of N² / 2⁶⁵), but texts that no reader of a table
+    wants are not shuffled. Null is told apart from every value. Without ``shown``, or for rows that have the hash, nothing changes.
+    """
+    if shown is None:
+        return rows, keys
+    if REST in rows.columns:
+        return rows, [*shown, REST]
+    rest = [k for k in keys if k not in shown]
+    told = [c for k in rest for c in (F.col(k), F.col(k).isNull())]
+    return rows.withColumn(REST, F.xxhash64(*told)), [*shown, REST]
+
+
+def agg_server_day(resolved: DataFrame, ignore_unknown_duration: bool = False, shown: list[str] | None = None) -> DataFrame:
+    """Daily server flows. ``ignore_unknown_duration`` leaves the -1 placeholder out of the mean. Placed rows stay placed.
+
+    ``shown`` are the only keys that a table made of it reads (``hashed_rest``).
+    """
     duration = F.nullif(F.col("con_duration"), F.lit(-1)) if ignore_unknown_duration else F.col("con_duration")
-    return resolved.groupBy(*place_of(resolved), *SERVER_DAY_KEYS).agg(
+    rows, keys = hashed_rest(resolved, SERVER_DAY_KEYS, shown)
+    return rows.groupBy(*place_of(rows), *keys).agg(
         F.sum("con_number").alias("con_number"), F.sum("con_traffic_in").alias("con_traffic_in"),
         F.sum("con_traffic_out").alias("con_traffic_out"), F.avg(duration).alias("con_duration"))
 
@@ -114,10 +136,11 @@ def agg_device_day(resolved: DataFrame, ignore_unknown_duration: bool = False, t
                        "I_ID_U", "distinct_I_ID_U")
 
 
-def device_day_sets(resolved: DataFrame, dictionary: DataFrame, ignore_unknown_duration: bool = False, together: list | None = None) -> DataFrame:
+def device_day_sets(resolved: DataFrame, dictionary: DataFrame, ignore_unknown_duration: bool = False, together: list | None = None,
+                    shown: list[str] | None = None) -> DataFrame:
     """Daily device flows with the set of their users as a bitmap (``users``) and its size; what the jobs store.
 
-    The rows are shuffled once. ``together`` as in ``agg_device_day``.
+    The rows are shuffled once. ``together`` as in ``agg_device_day``, ``shown`` as in ``agg_server_day``.
     """
     duration = F.nullif(F.col("con_duration"), F.lit(-1)) if ignore_unknown_duration else F.col("con_duration")
     sums = {
@@ -125,15 +148,16 @@ def device_day_sets(resolved: DataFrame, dictionary: DataFrame, ignore_unknown_d
         "con_traffic_out": F.col("con_traffic_out"), "_dur": duration,
         "_durs": F.when(duration.isNotNull(), F.lit(1).cast("bigint")),
     }
-    rows = placed(us.numbered(resolved, "I_ID_U", dictionary).withColumn("_user", us.single(F.col("_number"))), together or DEVICE_DAY_KEYS)
-    found = us.gather(rows, DEVICE_DAY_KEYS, "_user", sums, "users", "distinct_I_ID_U")
-    return found.select(*([PLACE] if together else []), *DEVICE_DAY_KEYS, "con_number", "con_traffic_in", "con_traffic_out",
+    rows, keys = hashed_rest(resolved, DEVICE_DAY_KEYS, shown)
+    rows = placed(us.numbered(rows, "I_ID_U", dictionary), together or keys).withColumn("_user", us.single(F.col("_number")))
+    found = us.gather(rows, keys, "_user", sums, "users", "distinct_I_ID_U")
+    return found.select(*([PLACE] if together else []), *keys, "con_number", "con_traffic_in", "con_traffic_out",
                         F.try_divide(F.col("_dur").cast("double"), F.col("_durs")).alias("con_duration"), "users", "distinct_I_ID_U")
 
 
-def agg_socket_day(resolved: DataFrame) -> DataFrame:
+def agg_socket_day(resolved: DataFrame, shown: list[str] | None = None) -> DataFrame:
     """Daily socket flows; the traffic of sockets is unknown and stays NULL."""
-    return agg_server_day(resolved.filter(F.col("collecttype") == "linux"))
+    return agg_server_day(resolved.filter(F.col("collecttype") == "linux"), shown=shown)
 
 
 # Columns a flow row takes from each side of an aggregate row.
@@ -166,15 +190,14 @@ FLOW_ROW = ["collecttype", "remote_type", "dt", "month", "server_ip", "server_si
             "remote_sector", "remote_site", "remote_ip", "remote_app_exec", "remote_aip_app_name", "server_port", "con_protocol"]
 
 
-def _roles(daily: DataFrame, collecttype: str, roles: list[Column], keep: list[str] = []) -> DataFrame:
+def _roles(daily: DataFrame, collecttype: str, roles: list[Column], keep: list[str] = [], row: list[str] = FLOW_ROW) -> DataFrame:
     """Closed flows, once per role of their server: one scan serves all roles. Placed rows stay placed."""
     keep = [*place_of(daily), *keep]
+    own = {"collecttype": F.lit(collecttype), "dt": F.col("dt"), "month": F.col("month"), "server_port": F.col("dest_port"), "con_protocol": F.col("con_protocol")}
     seen = daily.filter(closed_only()).select(
-        F.lit(collecttype).alias("collecttype"), "dt", "month", F.explode(F.array(*roles)).alias("r"),
-        F.col("dest_port").alias("server_port"), "con_protocol", "con_number",
+        *[c.alias(n) for n, c in own.items() if n in row], F.explode(F.array(*roles)).alias("r"), "con_number",
         (F.col("con_traffic_in") + F.col("con_traffic_out")).alias("con_traffic"), *keep)
-    inner = [c for c in FLOW_ROW if c not in seen.columns]
-    return seen.select(*[F.col(f"r.{c}").alias(c) if c in inner else F.col(c) for c in FLOW_ROW], "con_number", "con_traffic", *keep)
+    return seen.select(*[F.col(c) if c in own else F.col(f"r.{c}").alias(c) for c in row], "con_number", "con_traffic", *keep)
 
 
 def _server_roles(server: DataFrame, sockets: DataFrame) -> DataFrame:
@@ -186,9 +209,9 @@ def _server_roles(server: DataFrame, sockets: DataFrame) -> DataFrame:
     return summed[0].unionByName(summed[1])
 
 
-def _device_roles(device: DataFrame, members: str) -> DataFrame:
+def _device_roles(device: DataFrame, members: str, row: list[str] = FLOW_ROW) -> DataFrame:
     """Device flows: each is a client of its destination."""
-    return _roles(device, "nxdevice", [_role({**_server_side("dest"), **DEVICE_REMOTE}, "client")], [members])
+    return _roles(device, "nxdevice", [_role({**_server_side("dest"), **DEVICE_REMOTE}, "client")], [members], row)
 
 
 def flow_detail(device: DataFrame, server: DataFrame, sockets: DataFrame) -> DataFrame:
@@ -212,12 +235,28 @@ def flow_detail_sets(device: DataFrame, server: DataFrame, sockets: DataFrame) -
     return with_users.drop(PLACE).unionByName(counted)
 
 
-def flow_rows(device: DataFrame, server: DataFrame, sockets: DataFrame) -> DataFrame:
-    """The rows that ``flow_detail_sets`` sums up, as they are: enough for ``flow_parts``, which sums up anyway."""
-    both = [_role({**_server_side("dest"), **_remote_side("source")}, "client"),
-            _role({**_server_side("source"), **_remote_side("dest")}, "server")]
-    servers = _roles(server, "nxserver", both).unionByName(_roles(sockets, "linuxserver", both))
-    return _device_roles(device, "users").withColumnRenamed("users", "client_users").unionByName(servers, allowMissingColumns=True)
+# Daily keys that make a flow key of a client of the destination, and all that the flow tables by month and over all time read besides the month.
+DEVICE_FLOW = ["dest_ip", "dest_site", "dest_aip_app_name", "dest_aip_app_sector", "source_I_ID_site", "source_sector"]
+CLIENT_FLOW = ["dest_ip", "dest_site", "dest_aip_app_name", "dest_aip_app_sector", "source_site", "source_aip_app_sector"]
+DEVICE_READ = [*DEVICE_FLOW, "source_app_exec", "con_status"]
+SERVER_READ = [*CLIENT_FLOW, "source_ip", "source_aip_app_name", "source_app_exec", "con_status"]
+
+
+def flow_rows(device: DataFrame, server: DataFrame, sockets: DataFrame, by_month: bool) -> list[DataFrame]:
+    """The rows that ``flow_detail_sets`` sums up, as they are: enough for ``flow_parts``, which sums up anyway.
+
+    One frame per collect type and role, so that no two hold the same flow key, with the rows of a flow key (and month) ``placed`` together.
+    Daily rows are not placed, or by ``DEVICE_FLOW`` and ``CLIENT_FLOW`` (and the month); then only the flows of servers as clients are shuffled
+    again. The rows of one key meet in one task; its sums and sets are hash aggregates, which spill and hold no list.
+    """
+    keys = [*(["month"] if by_month else []), *FLOW_KEYS]
+    row = [*keys, "remote_ip", "remote_app_exec"]
+    client = _role({**_server_side("dest"), **_remote_side("source")}, "client")
+    served = _role({**_server_side("source"), **_remote_side("dest")}, "server")
+    kinds = [_device_roles(device, "users", row).withColumnRenamed("users", "client_users")]
+    for daily, kind in ((server, "nxserver"), (sockets, "linuxserver")):
+        kinds += [_roles(daily, kind, [client], row=row), _roles(daily, kind, [served], row=row).drop(PLACE)]
+    return [rows if place_of(rows) else placed(rows, keys) for rows in kinds]
 
 
 ADDRESS, PROGRAM, USERS = 0, 1, 2  # what a part counts
@@ -227,7 +266,8 @@ def flow_parts(flows: DataFrame, also: list[str], members: str = "client_users")
     """Mergeable parts of the flow tables: per flow key (and the columns ``also``) one row for each remote address, program and bucket of users.
 
     Parts of different days and months unite by adding measures and joining words, so a month is made once. The measures stand on the
-    rows of addresses, for flows without one on their program; a program that is not known has no part. ``flows`` are rows of ``flow_detail_sets``, or any rows with its keys, measures and a set.
+    rows of addresses, for flows without one on their program; a program that is not known has no part. ``flows`` are rows of ``flow_detail_sets``, or any rows with its keys, measures and a set
+    (none: no users). Rows placed by their flow keys are not shuffled, and their parts stay placed.
     """
     none = F.lit(None).cast("bigint")
 
@@ -239,13 +279,15 @@ def flow_parts(flows: DataFrame, also: list[str], members: str = "client_users")
     ends = (F.when(program.isNull(), F.array(part(ADDRESS, address, none, none, *measures)))
             .when(address.isNull(), F.array(part(PROGRAM, program, none, none, *measures)))
             .otherwise(F.array(part(ADDRESS, address, none, none, *measures), part(PROGRAM, program, none, none))))
-    users = F.transform(F.coalesce(F.col(members), F.array().cast(us.SET)), lambda w: part(USERS, F.lit(None), w["bucket"], w["word"]))
-    return merge_parts(flows.select(*also, *FLOW_KEYS, F.explode(F.concat(ends, users)).alias("p")).select(*also, *FLOW_KEYS, "p.*"), also)
+    held = F.coalesce(F.col(members), F.array().cast(us.SET)) if members in flows.columns else F.array().cast(us.SET)
+    users = F.transform(held, lambda w: part(USERS, F.lit(None), w["bucket"], w["word"]))
+    keys = [*place_of(flows), *also, *FLOW_KEYS]
+    return merge_parts(flows.select(*keys, F.explode(F.concat(ends, users)).alias("p")).select(*keys, "p.*"), also)
 
 
 def merge_parts(parts: DataFrame, also: list[str]) -> DataFrame:
-    """Parts of equal keys as one."""
-    return parts.groupBy(*also, *FLOW_KEYS, "kind", "value", "bucket").agg(
+    """Parts of equal keys as one. Placed parts stay placed."""
+    return parts.groupBy(*place_of(parts), *also, *FLOW_KEYS, "kind", "value", "bucket").agg(
         F.sum("con_traffic").alias("con_traffic"), F.sum("con_number").alias("con_number"), F.bit_or("word").alias("word"))
 
 
@@ -254,15 +296,15 @@ def count_parts(parts: DataFrame, by_month: bool) -> DataFrame:
     def held(kind):
         return F.count_if((F.col("kind") == kind) & F.col("value").isNotNull())
 
-    return parts.groupBy(*(["month"] if by_month else []), *FLOW_KEYS).agg(
+    return parts.groupBy(*place_of(parts), *(["month"] if by_month else []), *FLOW_KEYS).agg(
         held(ADDRESS).alias("count_distinct_remote_ip"), held(PROGRAM).alias("count_distinct_remote_app_exec"),
         F.sum("con_traffic").alias("con_traffic"), F.sum("con_number").alias("con_number"),
-        F.coalesce(F.sum(F.bit_count("word")), F.lit(0)).cast("int").alias("distinct_client_user"))
+        F.coalesce(F.sum(F.bit_count("word")), F.lit(0)).cast("int").alias("distinct_client_user")).drop(PLACE)
 
 
-def flow_summary(detail: DataFrame, by_month: bool) -> DataFrame:
-    """Flows per month or over all time, with distinct remote addresses, programs and users, from ``flow_rows`` or ``flow_detail_sets``."""
-    return count_parts(flow_parts(detail, ["month"] if by_month else []), by_month)
+def flow_summary(kinds: list[DataFrame], by_month: bool) -> DataFrame:
+    """Flows per month or over all time, with distinct remote addresses, programs and users, from frames that share no flow key, as those of ``flow_rows``."""
+    return union_by_name([count_parts(flow_parts(rows, ["month"] if by_month else []), by_month) for rows in kinds])
 
 
 def published_input(daily: DataFrame) -> DataFrame:

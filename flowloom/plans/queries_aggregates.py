@@ -43,9 +43,9 @@ def user_dictionary(t):
     return cut_lineage(usersets.number_names(users, "I_ID_U"), "users")
 
 
-def device_day_sets(t, dictionary=None, together=None):
+def device_day_sets(t, dictionary=None, together=None, shown=None):
     rows = t.d_resolved.filter(F.col("collecttype") == "device")
-    return ag.device_day_sets(rows, dictionary if dictionary is not None else user_dictionary(t), together=together)
+    return ag.device_day_sets(rows, dictionary if dictionary is not None else user_dictionary(t), together=together, shown=shown)
 
 
 def _server_rows(t, together):
@@ -64,6 +64,15 @@ def socket_day(t, together=None):
     return ag.agg_socket_day(rows.withColumns(unknown))
 
 
+def server_and_socket_day(t, together, shown):
+    """``server_day`` and ``socket_day`` with the keys ``shown``, from rows that are shuffled once for both."""
+    rows, _ = ag.hashed_rest(t.d_resolved.filter(F.col("collecttype") == "server"), ag.SERVER_DAY_KEYS, shown)
+    both = placed(rows, together).withColumn("collecttype", F.explode(F.array(F.lit("server"), F.lit("linux"))))
+    known = {c: F.when(F.col("collecttype") == "server", F.col(c)) for c in ("con_traffic_in", "con_traffic_out", "con_duration")}
+    both = both.withColumns(known)
+    return ag.agg_server_day(both.filter(F.col("collecttype") == "server"), shown=shown), ag.agg_socket_day(both, shown)
+
+
 @query("agg_server_day", SERVER_DAY_SQL)
 def _(t):
     return server_day(t)
@@ -134,18 +143,21 @@ SELECT d.*, CAST(coalesce(u.n, 0) AS INTEGER) AS distinct_client_user FROM (
 LEFT JOIN u ON {' AND '.join(f'd.{k} IS NOT DISTINCT FROM u.{k}' for k in keys.split(', '))}"""
 
 
-def flow_rows(t):
-    return ag.flow_rows(device_day_sets(t), server_day(t), socket_day(t))
+def flow_rows(t, by_month):
+    """Rows of the daily tables, of whose keys only those are shown that the flow tables read; they lie together by flow key from the start."""
+    also = ["month"] if by_month else []
+    device = device_day_sets(t, together=[*also, *ag.DEVICE_FLOW], shown=[*also, *ag.DEVICE_READ])
+    return ag.flow_rows(device, *server_and_socket_day(t, [*also, *ag.CLIENT_FLOW], [*also, *ag.SERVER_READ]), by_month)
 
 
 @query("flow_month", _summary_sql("month, "))
 def _(t):
-    return ag.flow_summary(flow_rows(t), by_month=True)
+    return ag.flow_summary(flow_rows(t, True), by_month=True)
 
 
 @query("flow_total", _summary_sql(""))
 def _(t):
-    return ag.flow_summary(flow_rows(t), by_month=False)
+    return ag.flow_summary(flow_rows(t, False), by_month=False)
 
 
 @query("user_sets", DEVICE_DAY_SQL)
