@@ -247,7 +247,7 @@ def flow_rows(device: DataFrame, server: DataFrame, sockets: DataFrame, by_month
 
     One frame per collect type and role, so that no two hold the same flow key, with the rows of a flow key (and month) ``placed`` together.
     Daily rows are not placed, or by ``DEVICE_FLOW`` and ``CLIENT_FLOW`` (and the month); then only the flows of servers as clients are shuffled
-    again. The rows of one key meet in one task; its sums and sets are hash aggregates, which spill and hold no list.
+    again. The rows of one key meet in one task, whose aggregates spill; no list is held for a flow key.
     """
     keys = [*(["month"] if by_month else []), *FLOW_KEYS]
     row = [*keys, "remote_ip", "remote_app_exec"]
