@@ -415,11 +415,11 @@ def detail_keys(source: str, detailed: bool) -> list[str]:
 
 
 def traffic_detail(flows: DataFrame, source: str = "device", detailed: bool = False) -> DataFrame:
-    """Traffic per result row, rounded half to even; detailed device rows list their users."""
+    """Traffic per result row, rounded half to even; detailed device rows list their users and are shuffled once for sums and lists."""
     keys = detail_keys(source, detailed)
     moving = flows.filter(F.col("Traffic") != 0)
     if source == "device" and detailed:
-        rows = with_members(moving, keys, "I_ID_U", {"Traffic": F.col("Traffic")}, "I_ID")
+        rows = with_members(placed(moving, keys), keys, "I_ID_U", {"Traffic": F.col("Traffic")}, "I_ID").drop(PLACE)
         return rows.withColumn("Traffic", F.bround(F.col("Traffic").cast("double"), 0))
     return moving.groupBy(*keys).agg(F.bround(F.sum("Traffic").cast("double"), 0).alias("Traffic"))
 
