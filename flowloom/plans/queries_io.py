@@ -17,7 +17,7 @@ from flowloom.operators.joining import union_by_name
 from flowloom.plans import jobs
 from flowloom.plans.queries_tables import PENDING_SQL, SERVER_ENGINES
 from flowloom.plans.registry import query
-from flowloom.session import cut_lineage, work_path
+from flowloom.session import COMPRESSION, cut_lineage, work_path
 from flowloom.sources import logs
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
@@ -427,7 +427,7 @@ def _(t):
     source, target, ledger = (work_path(spark, n) for n in ("arrived", "stored", "meta"))
     t.flows_by_month(written=False)
     rows = t.d_raw_connection
-    rows.write.parquet(source)
+    rows.write.option("compression", COMPRESSION).parquet(source)
     checkpoint = work_path(spark, "checkpoint")
     for _ in range(2):  # nothing new the second time
         st.ingest(spark, source, rows.schema, target, ledger, partitions=("month",), checkpoint=checkpoint,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators import ledger as lg
-from flowloom.session import cut_lineage, work_path
+from flowloom.session import cut_lineage
 from flowloom.sources import readers as rd
 from flowloom.sources import sinks as sn
 
@@ -31,9 +31,7 @@ def ingest(spark: SparkSession, source: str, schema, target: str, ledger: str, f
         rows = prepare(batch) if prepare else batch
         known = rd.read_or_empty(spark, ledger, lg.LEDGER_SCHEMA)
         fresh = lg.new_rows(rows, known, filetype)
-        path = work_path(spark, "batch")
-        fresh.write.parquet(path)
-        written = spark.read.schema(fresh.schema).parquet(path)
+        written = cut_lineage(fresh, "batch")
         sn.write_units(written, target, [*lg.UNIT, "filedt"], list(partitions), staged=True)
         sn.append_ledger(lg.ledger_entries(written, filetype, lg.ENCODE), ledger)
 
