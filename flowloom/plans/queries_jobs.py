@@ -118,7 +118,8 @@ WHERE (engine, dt, filedt) IN (SELECT (engine, dt, min_filedt) FROM ({AGGREGATE_
 @query("job_aggregate", _day_sql(qa.DEVICE_DAY_SQL, "device", "I_ID_U") + "\nUNION ALL\n" + _day_sql(qa.SERVER_DAY_SQL, "server", "NULL"))
 def _(t):
     spark, ctx = t.spark, jobs.scratch(t.spark, "aggregate", **OPTIONS)
-    sn.write_partitioned(t.d_resolved, ctx.path("resolved"), ["month"])
+    t.flows_by_month(written=False)
+    sn.write_partitioned(t.d_resolved, ctx.path("resolved"), ["month"], together=True)
     sn.append_ledger(t.stored("d_ledger"), ctx.path("meta"))
     for first, last in (("1990-01-01", "1998-01-15"), ("1998-01-10", "2010-01-01")):  # windows may overlap
         jobs.aggregate(spark, ctx, first, last)

@@ -64,3 +64,19 @@ def test_flows_by_month_are_the_flows(spark, rows):
     assert "Join" not in kept.d_connection._jdf.queryExecution().optimizedPlan().toString()
     stored = once.stored("d_resolved")
     assert once.d_resolved is stored and rows(stored) == rows(plain.d_resolved)
+
+
+def test_resolved_rows_are_stored_where_the_flows_of_a_month_lie(spark, monkeypatch):
+    from flowloom.plans.queries import QUERIES
+
+    class Stored(Exception):
+        pass
+
+    def seen(df, path, partitions, together=False):
+        raise Stored(path.rsplit("/", 1)[1], partitions, together, df._jdf.queryExecution().optimizedPlan().toString().count("RebalancePartitions"))
+
+    monkeypatch.setattr(sn, "write_partitioned", seen)
+    try:
+        QUERIES["job_aggregate"](spark, _tables(spark))
+    except Stored as found:  # before: False and 0, so the wide rows were shuffled by month
+        assert found.args == ("resolved", ["month"], True, 1)
