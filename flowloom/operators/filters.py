@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions import is_internal_ip
 from flowloom.operators.joining import anti_join, broadcast_limit, lookup_join, measured_bytes, semi_join
-from flowloom.session import cut_lineage
+from flowloom.session import cut_lineage, reading_by
 
 EXCLUDED_STATUS = ["Disposed", "Standby", "Stock", "Disposal"]  # fixed values
 
@@ -218,6 +218,8 @@ def application_list_filter(columns: list[str], source: dict | None = None, sour
 
 
 MOST_EXPRESSIONS = 1000
+MOST_HEADS = 1000  # first two characters of the patterns, tested in the plan
+PIECE_BYTES = 8 << 20  # of written values, cut into pieces by one task
 _SPECIAL = r"[\\.^$|?*+()\[\]{}]"  # a pattern without these is plain text, but for ^ at its start and $ at its end
 
 
@@ -240,6 +242,26 @@ def _with_shape_of(pieces: DataFrame, plain: DataFrame) -> DataFrame:
     return pieces.join(F.broadcast(shapes), like & placed, "left_semi")
 
 
+def _pieces(distinct: DataFrame, plain: DataFrame) -> DataFrame:
+    """Pieces of the values that are as long as a pattern and stand where one of this length may: anywhere, or at an end if all of them are anchored.
+
+    They are cut where a value has the first two characters of a pattern. If these are more than ``MOST_HEADS``, they are cut everywhere.
+    """
+    free, first, last = ~F.col("_first") & ~F.col("_last"), F.col("_first"), F.col("_last")
+    found = plain.groupBy(F.length("_body").alias("n")).agg(F.bool_or(free).alias("free"), F.bool_or(first).alias("first"), F.bool_or(last).alias("last"))
+    lengths = found.orderBy("n").collect()  # as many as a pattern has characters at most
+    heads = [r["h"] for r in plain.select(F.substring("_body", 1, 2).alias("h")).distinct().limit(MOST_HEADS + 1).collect()]
+    at, n = F.col("_at"), F.col("_l.n")
+    places = distinct.filter(F.length("_value") > 0).withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_value"))))
+    if len(heads) <= MOST_HEADS:
+        starts = F.substring("_value", at, F.lit(2)).isin(heads)
+        places = places.filter(starts | F.substring("_value", at, F.lit(1)).isin([h for h in heads if len(h) == 1]) if any(len(h) == 1 for h in heads) else starts)
+    kinds = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in ("n", "free", "first", "last")]) for r in lengths]).cast("array<struct<n:int,free:boolean,first:boolean,last:boolean>>")
+    begins, ends = at == 1, at + n - 1 == F.length("_value")
+    cut = places.withColumn("_l", F.explode(kinds)).filter((at + n - 1 <= F.length("_value")) & (F.col("_l.free") | (F.col("_l.first") & begins) | (F.col("_l.last") & ends)))
+    return cut.select("_value", F.substring("_value", at, n).alias("_body"), begins.alias("_begins"), ends.alias("_ends"))
+
+
 def values_in_list(values: DataFrame, column: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
     """Distinct values of ``column`` that hold one of the patterns; the list may be of any size and stays a table.
 
@@ -251,13 +273,9 @@ def values_in_list(values: DataFrame, column: str, patterns: DataFrame, pattern:
     first, last = F.col("_p").startswith("^"), F.col("_p").endswith("$")
     body = F.substring(F.col("_p"), F.when(first, 2).otherwise(1), F.length("_p") - first.cast("int") - last.cast("int"))
     split = cut_lineage(texts.select("_p", body.alias("_body"), first.alias("_first"), last.alias("_last")).withColumn("_plain", ~F.col("_body").rlike(_SPECIAL) & (F.col("_body") != "")), "patterns")
-    plain = split.filter("_plain").select("_body", "_first", "_last").distinct()
-    lengths = [r["n"] for r in plain.select(F.length("_body").alias("n")).distinct().orderBy("n").collect()]  # as many as a pattern has characters at most
+    plain = split.filter("_plain").select("_body", "_first", "_last")  # distinct, as the patterns are
     distinct = cut_lineage(values.select(F.col(column).alias("_value")).filter(F.col("_value").isNotNull()).distinct(), "values")
-    sizes = distinct.withColumn("_n", F.explode(F.array(*[F.lit(n) for n in lengths]).cast("array<int>"))).filter(F.col("_n") <= F.length("_value"))
-    pieces = sizes.withColumn("_at", F.explode(F.sequence(F.lit(1), F.length("_value") - F.col("_n") + 1))).withColumn("_body", F.substring("_value", F.col("_at"), F.col("_n")))
-    pieces = pieces.select("_value", "_body", (F.col("_at") == 1).alias("_begins"), (F.col("_at") + F.col("_n") - 1 == F.length("_value")).alias("_ends"))
-    pieces = _with_shape_of(pieces, plain)
+    pieces = _with_shape_of(_pieces(distinct, plain), plain)
     placed = (~F.col("_first") | F.col("_begins")) & (~F.col("_last") | F.col("_ends"))
     hits = lookup_join(pieces, plain, "_body", "inner").filter(placed).select("_value")
     rest = [r["_p"] for r in split.filter("not _plain").select("_p").limit(MOST_EXPRESSIONS + 1).collect()]
@@ -272,5 +290,7 @@ def filter_by_list(rows: DataFrame, column: str, patterns: DataFrame, mode: str
     """Rows whose ``column`` holds a pattern of the list, or those that hold none; a null value holds none."""
     if mode not in ("include", "exclude"):
         raise ValueError(f"mode must be include or exclude, not {mode!r}")
-    found = cut_lineage(values_in_list(rows, column, patterns, pattern), "listed")
+    listed = values_in_list(rows, column, patterns, pattern)
+    with reading_by(rows.sparkSession, PIECE_BYTES):
+        found = cut_lineage(listed, "listed")
     return (semi_join if mode == "include" else anti_join)(rows, found, [column])

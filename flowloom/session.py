@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +61,15 @@ def cut_lineage(df, label: str = "cut"):
     path = work_path(spark, label)
     df.write.mode("overwrite").option("compression", COMPRESSION).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def reading_by(spark: SparkSession, task_bytes: int) -> Iterator[None]:
+    """What is run inside reads files in tasks of at most ``task_bytes``, for steps whose work or memory is many times their bytes."""
+    setting = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(setting)
+    try:
+        spark.conf.set(setting, str(task_bytes))
+        yield
+    finally:
+        spark.conf.set(setting, before)

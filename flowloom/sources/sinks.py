@@ -5,13 +5,14 @@ from __future__ import annotations
 import gzip
 import io
 from collections.abc import Iterator
+from contextlib import nullcontext
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowloom.operators.joining import PARTITION_TASKS, PLACE, anti_join, place_of, semi_join, union_by_name
-from flowloom.session import COMPRESSION, cut_lineage, work_path
+from flowloom.session import COMPRESSION, cut_lineage, reading_by, work_path
 from flowloom.sources.readers import read_or_empty
 
 FILE_ROWS = 1_000_000
@@ -36,15 +37,9 @@ def write_partitioned(df: DataFrame, path: str, partitions: list[str], together:
     files per partition as they are.
     """
     rows = df.drop(PLACE) if together or place_of(df) else df.hint("rebalance", *partitions)
-    conf, setting = df.sparkSession.conf, "spark.sql.files.maxPartitionBytes"
-    before = conf.get(setting)
-    try:
-        if together:  # the writer sorts the rows of a task by partition, so a task takes few of them
-            conf.set(setting, str(SORTED_BYTES))
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION)
-         .partitionBy(*partitions).parquet(path))
-    finally:
-        conf.set(setting, before)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", COMPRESSION).partitionBy(*partitions)
+    with reading_by(df.sparkSession, SORTED_BYTES) if together else nullcontext():  # the writer sorts the rows of a task by partition, so a task takes few of them
+        writer.parquet(path)
 
 
 def write_units(df: DataFrame, path: str, units: list[str], partitions: list[str], staged: bool = False) -> None:

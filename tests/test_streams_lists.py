@@ -97,3 +97,21 @@ def test_listener_lines_by_their_parts(spark):
     assert got == sorted(good.values())
     assert all(r.source_program == "c:\\program files (x86" for r in logs.parse_listener(lines).collect())
     assert sorted(r.value for r in logs.quarantine(lines).collect()) == sorted(bad)
+
+
+def test_values_are_cut_only_where_a_pattern_may_begin(spark, monkeypatch):
+    import re
+
+    values = [f"job-{i}-{i % 7}-F" for i in range(60)] + ["", None, "j", "-", "q-1", "äö-12-x"]
+    patterns = ["^job-1", "-12-", "-F$", "^j$", "q", "-3-3-F$", "ö-", "^-$", "", None]
+    rows, listed = spark.createDataFrame(list(enumerate(values)), "id int, v string"), spark.createDataFrame([(p,) for p in patterns], "pattern string")
+    wanted = {i for i, v in enumerate(values) if v is not None and any(p and re.search(p, v) for p in patterns)}
+    for most in (fl.MOST_HEADS, 1):  # the second is fewer than the patterns have
+        monkeypatch.setattr(fl, "MOST_HEADS", most)
+        assert {r.id for r in fl.filter_by_list(rows, "v", listed).collect()} == wanted
+        assert {r.id for r in fl.filter_by_list(rows, "v", listed, "exclude").collect()} == set(range(len(values))) - wanted
+    monkeypatch.undo()
+    plain = spark.createDataFrame([("job-1", True, False), ("-12-", False, False), ("-7-F", False, True)], "_body string, _first boolean, _last boolean")
+    pieces = fl._pieces(spark.createDataFrame([("job-12-7-F",), ("",)], "_value string"), plain)
+    # before: 13 pieces, all of 4 and 5 characters
+    assert sorted(r._body for r in pieces.collect()) == ["-12-", "-7-F", "job-", "job-1"]
